@@ -6,7 +6,7 @@ import importlib
 
 from pulsegraph.plans.registry import REGISTRY, Query
 
-_MODULES = ("q_posts", "q_mentions", "q_graph")
+_MODULES = ("q_posts", "q_mentions", "q_graph", "q_sinks", "q_stream")
 
 
 def _load() -> dict[str, Query]:
