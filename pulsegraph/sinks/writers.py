@@ -58,10 +58,20 @@ def write_leaderboard_text(docs: DataFrame, path: str) -> None:
 
 
 def write_leaderboard_json(docs: DataFrame, path: str) -> None:
-    """One JSON document per (measure, month): ``<path>/measure=../month=../``."""
-    docs.select("measure", "month", F.col("doc").alias("value")).write.mode("overwrite").partitionBy(
-        "measure", "month"
-    ).text(path)
+    """One JSON document per (measure, month): ``<path>/measure=../month=../``.
+
+    The documents are spread over a fixed number of write tasks by their
+    folder keys (explicit count, so AQE does not fold them into one task that
+    would create every file alone); each task writes only its own folders.
+    """
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (
+        docs.repartition(n, "measure", "month")
+        .select("measure", "month", F.col("doc").alias("value"))
+        .write.mode("overwrite")
+        .partitionBy("measure", "month")
+        .text(path)
+    )
 
 
 def ranking_document(scores: DataFrame, value: str, n: int, key: str = "id", name: str = "name") -> DataFrame:
