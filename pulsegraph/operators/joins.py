@@ -61,3 +61,19 @@ def semi_join_known(
     d = bounded_broadcast(dictionary.select(F.col(dict_key).alias("__k")).distinct(), max_rows)
     k = F.col(key) if isinstance(key, str) else key
     return df.join(d, k == d["__k"], "left_semi")
+
+
+def unique_dictionary(dictionary: DataFrame, key: str = "id", value: str = "name") -> DataFrame:
+    """One row per key.  Identical duplicate rows collapse; a key mapped to two
+    different values fails the job (a map built in arbitrary order would keep
+    an arbitrary one).  Lazy and distributed: one partial aggregate, no extra job."""
+    agg = dictionary.groupBy(key).agg(
+        F.min(value).alias("__lo"), F.max(value).alias("__hi")
+    )
+    return agg.select(
+        key,
+        F.when(
+            F.col("__lo") != F.col("__hi"),
+            F.raise_error(F.concat(F.lit("conflicting dictionary entries for key "), F.col(key).cast("string"))),
+        ).otherwise(F.col("__lo")).cast(dictionary.schema[value].dataType).alias(value),
+    )

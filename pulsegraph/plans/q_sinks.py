@@ -77,7 +77,7 @@ def edge_list(spark, d):
     return FS.read_edge_list(spark, path)
 
 
-@query("dict_file", operators=("S-5", "E-4"), sql="SELECT s_suppkey AS id, s_name AS name FROM supplier")
+@query("dict_file", operators=("S-5", "E-4", "A-8"), sql="SELECT s_suppkey AS id, s_name AS name FROM supplier")
 def dict_file(spark, d):
     path = scratch_path(spark, "dictionary")
     W.write_dictionary(T.accounts(spark, d), path)

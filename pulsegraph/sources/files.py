@@ -9,18 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegraph.operators.joins import unique_dictionary
+
 
 def read_dictionary(
-    spark: SparkSession, path: str, id_type: str = "bigint", sep: str = r"\s+"
+    spark: SparkSession, path: str, id_type: str = "bigint", sep: str = r"\s+", unique: bool = True
 ) -> DataFrame:
     """``<id><blank><name>`` lines -> ``(id, name)``; the name is the rest of
-    the line after the first run of blanks.  Blank lines are skipped."""
+    the line after the first run of blanks.  Blank lines are skipped.
+    ``unique``: repeated lines collapse, an id with two names fails."""
     parts = F.split(F.trim(F.col("value")), sep, 2)
-    return (
+    d = (
         spark.read.text(path)
         .filter(F.trim("value") != "")
         .select(parts.getItem(0).cast(id_type).alias("id"), parts.getItem(1).alias("name"))
     )
+    return unique_dictionary(d) if unique else d
 
 
 def read_vertex_dictionary(spark: SparkSession, path: str) -> DataFrame:

@@ -34,3 +34,29 @@ def test_leaderboard_document_format(spark):
         "measure string, month string, position int, name string, value long")
     doc = W.leaderboard_documents(boards).first()["doc"]
     assert doc == '{"time":"2019-01","rankList":[{"name":"A","rank":9},{"name":"B \\"q\\"","rank":5}]}'
+
+
+def test_dictionary_duplicates_collapse_or_fail(spark):
+    import pytest
+    ok = _write_lines(spark, ["1 A", "1 A", "2 B"])
+    assert sorted(tuple(r) for r in FS.read_dictionary(spark, ok).collect()) == [(1, "A"), (2, "B")]
+    bad = _write_lines(spark, ["1 A", "1 Z"])
+    with pytest.raises(Exception):
+        FS.read_dictionary(spark, bad).collect()
+
+
+def test_month_partition_pruning_and_text_prefix(spark, sf):
+    from pyspark.sql import functions as F
+    from pulsegraph.operators import posts as P
+    from pulsegraph.sources import tables as T
+    p = T.posts(spark, sf)
+    path = scratch_path(spark, "bymonth")
+    W.write_partitioned(P.posts_by_month(p, P.calendar_of(p)), path, ["month"])
+    table = spark.read.parquet(path)
+    one = P.scan_month(table, "1996-03")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "1996-03" in plan
+    want = p.filter(F.date_format("time", "yyyy-MM") == "1996-03").count()
+    assert one.count() == want > 0
+    text = p.select(F.date_format("time", "yyyy-MM-dd HH:mm").alias("time"))
+    assert P.posts_in_month(text, "1996-03").count() == want
