@@ -60,27 +60,27 @@ def triangle_count(edges: DataFrame) -> DataFrame:
     edge (u, v), as w in N+(u) ∩ N+(v) – no wedge or pair enumeration – and
     credits its three corners.  Vertices on no triangle get 0.
     """
+    checkpoint_root(edges.sparkSession)
+    base = edges.select("src", "dst").checkpoint()  # input read once, used twice
     und = (
-        edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
+        base.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
         .filter(F.col("a") != F.col("b"))
         .distinct()
     )
-    deg = (
-        und.select(F.col("a").alias("id"))
-        .union(und.select(F.col("b").alias("id")))
-        .groupBy("id")
-        .agg(F.count(F.lit(1)).alias("deg"))
+    deg = und.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(
+        F.count(F.lit(1)).alias("deg")
     )
     da = deg.select(F.col("id").alias("a"), F.col("deg").alias("da"))
     db = deg.select(F.col("id").alias("b"), F.col("deg").alias("db"))
+    a_first = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
     oriented = (
-        und.join(da, "a").join(db, "b")
+        und.join(da, "a")
+        .join(db, "b")
         .select(
-            F.when((F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b"))), F.col("a"))
-            .otherwise(F.col("b")).alias("u"),
-            F.when((F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b"))), F.col("b"))
-            .otherwise(F.col("a")).alias("v"),
+            F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("u"),
+            F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v"),
         )
+        .checkpoint()
     )
     adj = oriented.groupBy("u").agg(F.collect_list("v").alias("nbrs"))
     nu = adj.select(F.col("u"), F.col("nbrs").alias("nu"))
@@ -91,15 +91,20 @@ def triangle_count(edges: DataFrame) -> DataFrame:
         .select("u", "v", F.array_intersect("nu", "nv").alias("w"))
         .filter(F.size("w") > 0)
     )
+    # one pass credits all three corners: u and v once per triangle on (u, v),
+    # every w in the intersection once
+    n = F.size("w").cast("bigint")
+    corners = F.concat(
+        F.array(F.struct(F.col("u").alias("id"), n.alias("t")), F.struct(F.col("v").alias("id"), n.alias("t"))),
+        F.transform("w", lambda x: F.struct(x.alias("id"), F.lit(1).cast("bigint").alias("t"))),
+    )
     credits = (
-        common.select(F.col("u").alias("id"), F.size("w").cast("bigint").alias("t"))
-        .union(common.select(F.col("v").alias("id"), F.size("w").cast("bigint").alias("t")))
-        .union(common.select(F.explode("w").alias("id"), F.lit(1).cast("bigint").alias("t")))
+        common.select(F.inline(corners))
         .groupBy("id")
         .agg(F.sum("t").alias("triangles"))
     )
     return (
-        vertices_of(edges)
+        vertices_of(base)
         .join(credits, "id", "left")
         .select("id", F.coalesce("triangles", F.lit(0).cast("bigint")).alias("triangles"))
     )
@@ -186,6 +191,8 @@ def pagerank(
     ``check_every`` iterations apart, which is stricter than one iteration
     apart (changes shrink geometrically), so the result is at least as tight.
     """
+    checkpoint_root(edges.sparkSession)
+    edges = edges.select("src", "dst").checkpoint()  # input read once, used three times
     verts = vertices_of(edges)
     outdeg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("od"))
     w = (
@@ -211,7 +218,9 @@ def pagerank_weighted(
     after ``max_iter`` iterations or as soon as every vertex changed by less
     than ``rel_tol`` (relative) in the last iteration; scaled to Σ = |V|.
     """
-    f = follows.select("src", "dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
+    checkpoint_root(follows.sparkSession)
+    follows = follows.select("src", "dst").checkpoint()
+    f = follows.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
     m = mention_edges.select("src", "dst", F.col("weight").cast("double").alias("m"))
     raw = f.join(m, ["src", "dst"], "left").select(
         "src", "dst", (F.col("mult") * (F.lit(1.0) + F.coalesce("m", F.lit(0.0)))).alias("raw")
@@ -265,8 +274,9 @@ def strongly_connected_components(edges: DataFrame, max_rounds: int = 10_000, ma
     least the SCC of the smallest active id.
     """
     checkpoint_root(edges.sparkSession)
-    e = edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct().checkpoint()
-    active = vertices_of(edges).checkpoint()
+    base = edges.select("src", "dst").checkpoint()
+    e = base.filter(F.col("src") != F.col("dst")).distinct().checkpoint()
+    active = vertices_of(base).checkpoint()
     done = None
     for _ in range(max_rounds):
         if active.limit(1).count() == 0:
