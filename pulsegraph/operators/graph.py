@@ -236,42 +236,52 @@ def pagerank_weighted(
 # --------------------------------------------------------------------------- SCC
 
 
-def _propagate_min(labels: DataFrame, edges: DataFrame, col: str, forward: bool, max_iter: int) -> DataFrame:
-    """Fixed point of ``col(v) = min(col(v), col(u))`` over ``u -> v`` (or the
-    reverse), where both ends share the same ``color``.  ``labels(id, color, col)``."""
-    a, b = ("src", "dst") if forward else ("dst", "src")
-    for _ in range(max_iter):
-        cand = (
-            edges.join(labels.select(F.col("id").alias(a), F.col("color").alias("ca"), F.col(col).alias("x")), a)
-            .join(labels.select(F.col("id").alias(b), F.col("color").alias("cb")), b)
-            .filter(F.col("ca") == F.col("cb"))
-            .groupBy(F.col(b).alias("id"))
-            .agg(F.min("x").alias("x"))
-        )
-        new = (
-            labels.join(cand, "id", "left")
-            .select(
-                "id", "color",
-                F.least(F.col(col), F.coalesce("x", F.col(col))).alias(col),
-                (F.col("x") < F.col(col)).alias("__changed"),
-            )
-            .checkpoint()
-        )
-        changed = new.filter(F.col("__changed")).limit(1).count() > 0
-        labels = new.drop("__changed")
-        if not changed:
-            return labels
+def _min_fixpoint(labels: DataFrame, flow: DataFrame, col: str, batch: int, max_iter: int) -> DataFrame:
+    """Fixed point of ``col(b) = min(col(b), col(a))`` over ``flow(a, b)``.
+
+    Every vertex gets an ``own`` edge, so one join + one (fixed-width, partially
+    aggregated) ``min`` per iteration both propagates and remembers the old
+    value; ``batch`` iterations run as one job and are checkpointed once.
+    Min-propagation is monotone: once an iteration changes nothing, later ones
+    change nothing, so only the last iteration of a batch is tested.
+    """
+    n = _partitions(flow)
+    own = labels.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(True).alias("own"))
+    edges = (
+        flow.select("a", "b", F.lit(False).alias("own"))
+        .unionByName(own)
+        .repartition(n, "a")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    cur = labels.select("id", col)
+    try:
+        for _ in range(0, max_iter, batch):
+            r = cur
+            for _ in range(batch):
+                r = (
+                    edges.join(r.select(F.col("id").alias("a"), F.col(col).alias("x")), "a")
+                    .groupBy(F.col("b").alias("id"))
+                    .agg(F.min("x").alias(col), F.min(F.when(F.col("own"), F.col("x"))).alias("__old"))
+                )
+            r = r.checkpoint()
+            if r.filter(F.col(col) < F.col("__old")).limit(1).count() == 0:
+                return r.select("id", col)
+            cur = r.select("id", col)
+    finally:
+        edges.unpersist()
     raise RuntimeError("SCC label propagation did not converge")
 
 
-def strongly_connected_components(edges: DataFrame, max_rounds: int = 10_000, max_iter: int = 100_000) -> DataFrame:
+def strongly_connected_components(
+    edges: DataFrame, max_rounds: int = 10_000, max_iter: int = 1_000_000, batch: int = 5
+) -> DataFrame:
     """``(id, component)``: component = smallest vertex id of the SCC.
 
     Rounds of: colour every active vertex with the smallest id that reaches
     it (forward min-label propagation); a vertex whose colour is its own id is
     a root; vertices of a colour that reach their root backwards inside the
     colour class form the root's SCC and retire.  Every round retires at
-    least the SCC of the smallest active id.
+    least the SCC of the smallest active id (and usually many more).
     """
     checkpoint_root(edges.sparkSession)
     base = edges.select("src", "dst").checkpoint()
@@ -281,19 +291,34 @@ def strongly_connected_components(edges: DataFrame, max_rounds: int = 10_000, ma
     for _ in range(max_rounds):
         if active.limit(1).count() == 0:
             break
-        ae = e.join(active.select(F.col("id").alias("src")), "src", "left_semi").join(
-            active.select(F.col("id").alias("dst")), "dst", "left_semi"
-        ).checkpoint()
-        lab = active.select("id", F.lit(0).cast("bigint").alias("color"), F.col("id").alias("fw"))
-        lab = _propagate_min(lab, ae, "fw", True, max_iter)
-        # backward: root marks itself (0), others start unmarked (1); a vertex
-        # is in its root's SCC when it reaches a marked vertex of its colour.
-        back = lab.select(
-            "id", F.col("fw").alias("color"),
-            F.when(F.col("fw") == F.col("id"), F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("mk"),
+        ae = (
+            e.join(active.select(F.col("id").alias("src")), "src", "left_semi")
+            .join(active.select(F.col("id").alias("dst")), "dst", "left_semi")
+            .checkpoint()
+        )
+        fw = _min_fixpoint(
+            active.select("id", F.col("id").alias("fw")),
+            ae.select(F.col("src").alias("a"), F.col("dst").alias("b")),
+            "fw", batch, max_iter,
+        )
+        # backward inside each colour: the root is marked (0); a vertex whose
+        # successor of the same colour is marked becomes marked
+        same_colour = (
+            ae.join(fw.select(F.col("id").alias("src"), F.col("fw").alias("ca")), "src")
+            .join(fw.select(F.col("id").alias("dst"), F.col("fw").alias("cb")), "dst")
+            .filter(F.col("ca") == F.col("cb"))
+            .select(F.col("dst").alias("a"), F.col("src").alias("b"))
+        )
+        mk = _min_fixpoint(
+            fw.select("id", F.when(F.col("fw") == F.col("id"), F.lit(0)).otherwise(F.lit(1)).alias("mk")),
+            same_colour, "mk", batch, max_iter,
+        )
+        found = (
+            mk.filter(F.col("mk") == 0)
+            .join(fw, "id")
+            .select("id", F.col("fw").alias("component"))
+            .checkpoint()
         )
-        back = _propagate_min(back, ae, "mk", False, max_iter)
-        found = back.filter(F.col("mk") == 0).select("id", F.col("color").alias("component")).checkpoint()
         done = found if done is None else done.union(found)
         active = active.join(found, "id", "left_anti").checkpoint()
     return done
