@@ -133,8 +133,11 @@ def _power_iterations(
     scan + aggregate, cheap to rebuild after an executor loss); the ranks come
     out of the aggregate partitioned by ``dst`` = the next join key, so the
     only exchange per iteration is the partially aggregated contributions.
-    (Measured: broadcasting the ranks each iteration or a shuffle-hash join is
-    no faster; the cost is the one exchange per iteration.)
+    The edges are also sorted by ``src`` once, and the join is a merge join:
+    per iteration only the ranks (one row per vertex) are sorted – the edges
+    never move, are never re-sorted and are never broadcast, whatever their
+    size.  (Measured locally: broadcast or shuffle-hash variants are no
+    faster; the cost is the one exchange per iteration.)
     Every ``check_every`` iterations the ranks are checkpointed together with
     the ranks of the previous checkpoint; ``converged`` gets ``rank`` and
     ``prev`` columns and returns a boolean aggregate.
@@ -146,6 +149,7 @@ def _power_iterations(
         weighted_edges.select("src", "dst", F.col("w").cast("double").alias("w"))
         .unionByName(verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("w")))
         .repartition(n, "src")
+        .sortWithinPartitions("src")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     ranks = verts.select("id", F.lit(1.0).alias("rank")).checkpoint()
@@ -156,7 +160,7 @@ def _power_iterations(
             r = ranks
             for _ in range(steps):
                 r = (
-                    edges.join(r.select(F.col("id").alias("src"), "rank"), "src")
+                    edges.join(r.select(F.col("id").alias("src"), "rank").hint("merge"), "src")
                     .groupBy(F.col("dst").alias("id"))
                     .agg((F.lit(reset) + F.lit(1.0 - reset) * F.sum(F.col("rank") * F.col("w"))).alias("rank"))
                 )
