@@ -43,3 +43,16 @@ def test_no_python_in_query_plans(spark, sf):
 def test_monthly_aggregate_is_partial_before_exchange(spark, sf):
     txt = H.monthly_measures(T.posts(spark, sf))._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in txt
+
+
+def test_lookup_broadcasts_only_under_the_bound(spark, sf):
+    from pulsegraph.operators.joins import lookup
+    posts = T.posts(spark, sf).select("account")
+    small = lookup(posts, T.accounts(spark, sf), "account", max_rows=1000)
+    assert "BroadcastHashJoin" in _plan(small)
+    big = lookup(posts, T.accounts(spark, sf), "account", max_rows=5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in _plan(big)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
