@@ -186,7 +186,7 @@ def pagerank(
     reset: float = 0.15,
     tol: float = 1e-12,
     max_iter: int = 10_000,
-    check_every: int = 10,
+    check_every: int = 5,
 ) -> DataFrame:
     """PageRank until no vertex moves by ``tol`` or more.
 
@@ -194,6 +194,8 @@ def pagerank(
     sinks leak; the result is scaled to Σ = |V|.  The test compares ranks
     ``check_every`` iterations apart, which is stricter than one iteration
     apart (changes shrink geometrically), so the result is at least as tight.
+    ``check_every=5`` measured fastest: longer chains cost more driver-side
+    re-planning per iteration, shorter ones more checkpoint jobs.
     """
     checkpoint_root(edges.sparkSession)
     edges = edges.select("src", "dst").checkpoint()  # input read once, used three times
