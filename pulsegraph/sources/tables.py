@@ -101,17 +101,24 @@ def follows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, ["ok", "ln"]).select("src", "dst").distinct()
 
 
-def follows_nested(spark: SparkSession, sf_dir: str, buckets: int = 16) -> DataFrame:
+def follows_nested(spark: SparkSession, sf_dir: str, members_per_doc: int = 10_000) -> DataFrame:
     """Owner documents ``{id, followsList: [{id}]}``.
 
-    A popular owner is split over ``buckets`` documents (by member hash) so no
-    single document – and no single task – carries a whole hot follower list.
+    An owner with ``c`` followers is split over ``ceil(c / members_per_doc)``
+    documents by member hash, so a document holds about ``members_per_doc``
+    members however popular the owner is – no single document or task
+    carries a whole hot follower list.  (Counts per owner are a partial
+    aggregate joined back.)
     """
     f = follows(spark, sf_dir)
+    per_owner = f.groupBy("dst").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(members_per_doc)).cast("bigint").alias("chunks")
+    )
     return (
-        f.groupBy(
+        f.join(per_owner, "dst")
+        .groupBy(
             F.col("dst").alias("id"),
-            F.pmod(F.xxhash64("src"), F.lit(buckets)).alias("chunk"),
+            F.pmod(F.xxhash64("src"), F.col("chunks")).alias("chunk"),
         )
         .agg(F.collect_list(F.struct(F.col("src").alias("id"))).alias("followsList"))
         .select("id", "followsList")

@@ -60,3 +60,13 @@ def test_month_partition_pruning_and_text_prefix(spark, sf):
     assert one.count() == want > 0
     text = p.select(F.date_format("time", "yyyy-MM-dd HH:mm").alias("time"))
     assert P.posts_in_month(text, "1996-03").count() == want
+
+
+def test_follows_documents_are_chunked(spark, sf):
+    from pyspark.sql import functions as F
+    from pulsegraph.operators import graph as G
+    from pulsegraph.sources import tables as T
+    docs = T.follows_nested(spark, sf, members_per_doc=2)
+    assert docs.agg(F.max(F.size("followsList"))).first()[0] <= 12  # ~2 per doc, hash spread
+    back = G.follows_from_nested(docs, T.parts(spark, sf))
+    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in T.follows(spark, sf).collect())
