@@ -42,3 +42,19 @@ def test_mention_stream_update_mode_emits_changed_keys(spark, sf):
     from pulsegraph.operators import mentions as M
     want = M.mention_counts(M.mentions_exploded(pa), T.users(spark, sf))
     assert _sorted(newest) == _sorted(want)
+
+
+def test_processing_time_trigger_keeps_running(spark, sf):
+    posts = T.posts(spark, sf)
+    inp = scratch_path(spark, "p-in")
+    out = scratch_path(spark, "p-out")
+    posts.limit(0).write.parquet(inp)  # empty folder with a schema
+    q = S.run_to_end(S.running_account_measures(S.file_stream(spark, inp, posts.schema)),
+                     out, scratch_path(spark, "p-ck"), processing_time="1 second")
+    try:
+        assert q.isActive
+        posts.repartition(2).write.mode("append").parquet(inp)  # data arrives while it runs
+        q.processAllAvailable()
+        assert _sorted(S.latest_snapshot(spark, out)) == _sorted(H.account_measure_totals(posts))
+    finally:
+        q.stop()
