@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pulsegraph.operators import graph as G
 from pulsegraph.operators import heat as H
 from pulsegraph.operators.joins import lookup
-from pulsegraph.plans import q_graph  # noqa: F401  (vertex_dictionary oracle)
+from pulsegraph.plans import q_graph, q_posts  # noqa: F401  (oracles reused)
 from pulsegraph.plans.registry import REGISTRY, query
 from pulsegraph.plans.sqlviews import with_views
 from pulsegraph.session import scratch_path
@@ -104,3 +104,21 @@ def sink_by_month(spark, d):
         "repost_num bigint, comment_num bigint, month string"
     ).parquet(path)
     return back.groupBy("month").agg(F.count(F.lit(1)).alias("n_posts"), F.sum("like_num").alias("like_num"))
+
+
+@query("sink_by_period", operators=("K-1", "P-2", "J-6"),
+       sql=with_views("posts", extra=q_posts.PERIODS_SQL) + """
+SELECT q.period, count(*) AS n_records, count(*) FILTER (WHERE p.repost IS NULL) AS n_originals
+FROM posts p JOIN periods q ON p.time > q.s AND p.time < q.e GROUP BY q.period""")
+def sink_by_period(spark, d):
+    """Period export records written in one pass, one folder per period."""
+    path = scratch_path(spark, "records-by-period")
+    records = P.period_records(P.period_membership(T.posts(spark, d), *q_posts.PERIOD_YEARS))
+    W.write_partitioned(records, path, ["period"], fmt="json")
+    back = spark.read.schema(
+        "id string, forward string, like_num string, forward_num string, comment_num string, period string"
+    ).json(path)
+    return back.groupBy("period").agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.sum((F.col("forward") == "null").cast("bigint")).alias("n_originals"),
+    )
