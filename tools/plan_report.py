@@ -23,7 +23,7 @@ EAGER = {
     "pagerank": "iterative: 1 exchange / iteration, checkpoint every 5",
     "pagerank_at": "iterative: 1 exchange / iteration, checkpoint every 5",
     "pagerank_named": "iterative + size-checked broadcast name join",
-    "pagerank_weighted": "iterative: 1 exchange / iteration, checkpoint every iteration (exact 0.1 % stop)",
+    "pagerank_weighted": "iterative: 1 exchange / iteration, checkpoint every 5, exact 0.1 % stop",
     "scc": "iterative: batches of 5 min-propagation steps, 1 exchange each",
     "scc_members": "scc + partial count per component joined back",
     "triangle_count": "input + oriented graph checkpointed; adjacency <= sqrt(2E)",
