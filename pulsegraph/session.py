@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # iterative operators checkpoint every few iterations; let Spark delete
+    # checkpoint files nothing references any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
