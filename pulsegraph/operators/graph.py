@@ -290,23 +290,52 @@ def _min_fixpoint(labels: DataFrame, flow: DataFrame, col: str, batch: int, max_
     raise RuntimeError("SCC label propagation did not converge")
 
 
+def _retire(active: DataFrame, ae: DataFrame, forward: bool, batch: int, max_iter: int) -> DataFrame:
+    """SCCs rooted at colour roots: ``(id, component)``.
+
+    ``forward``: colour = smallest id that reaches the vertex; a vertex
+    coloured with its own id is a root, and the vertices of its colour that
+    reach it (backward marking inside the colour) are its SCC.  The reverse
+    direction swaps the roles of ``src`` and ``dst``.  Either way the root is
+    the smallest id of its SCC, so both directions give the same labels.
+    """
+    a, b = ("src", "dst") if forward else ("dst", "src")
+    colour = _min_fixpoint(
+        active.select("id", F.col("id").alias("c")),
+        ae.select(F.col(a).alias("a"), F.col(b).alias("b")),
+        "c", batch, max_iter,
+    )
+    same_colour = (
+        ae.join(colour.select(F.col("id").alias(a), F.col("c").alias("ca")), a)
+        .join(colour.select(F.col("id").alias(b), F.col("c").alias("cb")), b)
+        .filter(F.col("ca") == F.col("cb"))
+        .select(F.col(b).alias("a"), F.col(a).alias("b"))
+    )
+    mark = _min_fixpoint(
+        colour.select("id", F.when(F.col("c") == F.col("id"), F.lit(0)).otherwise(F.lit(1)).alias("mk")),
+        same_colour, "mk", batch, max_iter,
+    )
+    return mark.filter(F.col("mk") == 0).join(colour, "id").select("id", F.col("c").alias("component"))
+
+
 def strongly_connected_components(
     edges: DataFrame, max_rounds: int = 10_000, max_iter: int = 1_000_000, batch: int = 5
 ) -> DataFrame:
     """``(id, component)``: component = smallest vertex id of the SCC.
 
-    Rounds of: colour every active vertex with the smallest id that reaches
-    it (forward min-label propagation); a vertex whose colour is its own id is
-    a root; vertices of a colour that reach their root backwards inside the
-    colour class form the root's SCC and retire.  Every round retires at
-    least the SCC of the smallest active id (and usually many more).
+    Rounds of colour-and-mark (see ``_retire``) over the still active
+    vertices; found SCCs retire.  Round 1 colours forward only (it resolves
+    graphs whose small ids sit upstream, like the test graphs, in one round);
+    later rounds also colour backward, so a chain is resolved whichever way
+    its ids increase.  Every round retires at least the SCC of the smallest
+    active id.
     """
     checkpoint_root(edges.sparkSession)
     base = edges.select("src", "dst").checkpoint()
     e = base.filter(F.col("src") != F.col("dst")).distinct().checkpoint()
     active = vertices_of(base).checkpoint()
     done = None
-    for _ in range(max_rounds):
+    for rnd in range(max_rounds):
         if active.limit(1).count() == 0:
             break
         ae = (
@@ -314,29 +343,10 @@ def strongly_connected_components(
             .join(active.select(F.col("id").alias("dst")), "dst", "left_semi")
             .checkpoint()
         )
-        fw = _min_fixpoint(
-            active.select("id", F.col("id").alias("fw")),
-            ae.select(F.col("src").alias("a"), F.col("dst").alias("b")),
-            "fw", batch, max_iter,
-        )
-        # backward inside each colour: the root is marked (0); a vertex whose
-        # successor of the same colour is marked becomes marked
-        same_colour = (
-            ae.join(fw.select(F.col("id").alias("src"), F.col("fw").alias("ca")), "src")
-            .join(fw.select(F.col("id").alias("dst"), F.col("fw").alias("cb")), "dst")
-            .filter(F.col("ca") == F.col("cb"))
-            .select(F.col("dst").alias("a"), F.col("src").alias("b"))
-        )
-        mk = _min_fixpoint(
-            fw.select("id", F.when(F.col("fw") == F.col("id"), F.lit(0)).otherwise(F.lit(1)).alias("mk")),
-            same_colour, "mk", batch, max_iter,
-        )
-        found = (
-            mk.filter(F.col("mk") == 0)
-            .join(fw, "id")
-            .select("id", F.col("fw").alias("component"))
-            .checkpoint()
-        )
+        found = _retire(active, ae, True, batch, max_iter).checkpoint()
+        if rnd > 0:
+            back = _retire(active, ae, False, batch, max_iter).join(found, "id", "left_anti")
+            found = found.union(back).checkpoint()
         done = found if done is None else done.union(found)
         active = active.join(found, "id", "left_anti").checkpoint()
     return done
