@@ -24,7 +24,7 @@ EAGER = {
     "pagerank_at": "iterative: 1 exchange / iteration, checkpoint every 5",
     "pagerank_named": "iterative + size-checked broadcast name join",
     "pagerank_weighted": "iterative: 1 exchange / iteration, checkpoint every 5, exact 0.1 % stop",
-    "scc": "iterative: batches of 5 min-propagation steps, 1 exchange each",
+    "scc": "iterative: batches of 5 min-propagation steps, 1 exchange each; rounds >= 2 colour both ways",
     "scc_members": "scc + partial count per component joined back",
     "triangle_count": "input + oriented graph checkpointed; adjacency <= sqrt(2E)",
     "triangle_count_at": "input + oriented graph checkpointed; adjacency <= sqrt(2E)",
