@@ -9,9 +9,9 @@ Conventions (those of the public Spark graph API the upstream used):
 * an SCC is labelled by its smallest vertex id.
 
 Iterative operators cut lineage with ``DataFrame.checkpoint()`` into the
-session's shared checkpoint folder (never a local checkpoint), so a lost
-executor only recomputes one iteration, and the driver only ever receives
-one scalar per convergence test.
+session's shared checkpoint folder (never a local checkpoint) once per batch
+of iterations, so a lost executor recomputes at most one batch, and the
+driver only ever receives a few scalars per convergence test.
 """
 
 from __future__ import annotations
