@@ -122,3 +122,26 @@ def sink_by_period(spark, d):
         F.count(F.lit(1)).alias("n_records"),
         F.sum((F.col("forward") == "null").cast("bigint")).alias("n_originals"),
     )
+
+
+@query("scan_one_account", operators=("S-2", "K-1", "P-4"), sql=with_views("posts") + """
+SELECT post_id, account, like_num, repost_num, comment_num FROM posts""")
+def scan_one_account(spark, d):
+    """Every account's collection, written once as account-bucket folders and
+    scanned back (the one-account read is ``posts.scan_entity``)."""
+    path = scratch_path(spark, "posts-by-account")
+    W.write_by_entity(T.posts(spark, d), path, "account")
+    return spark.read.parquet(path).select("post_id", "account", "like_num", "repost_num", "comment_num")
+
+
+@query("scan_one_month", operators=("S-3", "W-5", "P-4"), sql=with_views("posts") + """
+SELECT strftime(time, '%Y-%m') AS month, post_id, account, like_num FROM posts""")
+def scan_one_month(spark, d):
+    """Every month's collection, written once as ``month=`` folders; the month
+    comes back from the folder name (the one-month read is ``posts.scan_month``)."""
+    path = scratch_path(spark, "posts-month-folders")
+    p = T.posts(spark, d)
+    W.write_partitioned(P.posts_by_month(p, P.calendar_of(p)), path, ["month"], mode="overwrite")
+    back = spark.read.option("basePath", path).schema(
+        "post_id bigint, account bigint, like_num bigint, month string").parquet(path)
+    return back.select("month", "post_id", "account", "like_num")

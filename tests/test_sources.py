@@ -70,3 +70,15 @@ def test_follows_documents_are_chunked(spark, sf):
     assert docs.agg(F.max(F.size("followsList"))).first()[0] <= 12  # ~2 per doc, hash spread
     back = G.follows_from_nested(docs, T.parts(spark, sf))
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in T.follows(spark, sf).collect())
+
+
+def test_one_entity_scan_prunes_to_one_bucket(spark, sf):
+    from pulsegraph.operators import posts as P
+    from pulsegraph.sources import tables as T
+    p = T.posts(spark, sf)
+    path = scratch_path(spark, "by-account")
+    W.write_by_entity(p, path, "account")
+    one = P.scan_entity(spark.read.parquet(path), "account", 7)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(account,7)" in plan
+    assert one.count() == p.filter("account = 7").count() > 0
