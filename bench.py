@@ -56,12 +56,18 @@ def main() -> None:
     qs["monthly_measures"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in only:
         runs = []
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t0)
+        try:
+            for _ in range(repeat):
+                t0 = time.perf_counter()
+                qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - t0)
+        except Exception as e:  # noqa: BLE001 - report and keep benchmarking the rest
+            errors[name] = str(e)[:300]
+            print(f"{name}: FAILED {errors[name]}", file=sys.stderr, flush=True)
+            continue
         times[name] = round(min(runs), 3)
         print(f"{name}: {[round(r, 2) for r in runs]}s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -74,6 +80,7 @@ def main() -> None:
         "cpus": cpus,
         "repeat": repeat,
         "stat": "min",
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
