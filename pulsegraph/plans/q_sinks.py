@@ -19,10 +19,10 @@ from pulsegraph.operators import posts as P
 _BOARDS_SQL = """boards AS (
     SELECT measure, month, account, value,
            row_number() OVER (PARTITION BY measure, month ORDER BY value DESC, account ASC) AS position
-    FROM (SELECT month, account, 'like' AS measure, like_heat AS value FROM decay_total
-          UNION ALL SELECT month, account, 'repost', repost_heat FROM decay_total
-          UNION ALL SELECT month, account, 'comment', comment_heat FROM decay_total
-          UNION ALL SELECT month, account, 'total', total_heat FROM decay_total) s),
+    FROM (SELECT month, account, 'like' AS measure, like_heat AS value FROM SERIES
+          UNION ALL SELECT month, account, 'repost', repost_heat FROM SERIES
+          UNION ALL SELECT month, account, 'comment', comment_heat FROM SERIES
+          UNION ALL SELECT month, account, 'total', total_heat FROM SERIES) s),
 docs AS (
     SELECT b.measure, b.month,
            CAST(to_json(struct_pack(time := b.month,
@@ -31,25 +31,35 @@ docs AS (
     WHERE b.position <= 5 GROUP BY b.measure, b.month)"""
 
 
-def _docs(spark, d):
+def _docs(spark, d, cumulative=False):
+    """Leaderboard documents on the half-life series (what the upstream code
+    computes) or on the plain running total (what its published files show)."""
     monthly = H.monthly_measures(T.posts(spark, d))
-    boards = H.leaderboards(H.heat_total(H.heat_decay_series(monthly)), n=5)
+    series = H.heat_cumulative_series(monthly) if cumulative else H.heat_decay_series(monthly)
+    boards = H.leaderboards(H.heat_total(series), n=5)
     return W.leaderboard_documents(lookup(boards, T.accounts(spark, d), "account", strict=True))
 
 
 @query("leaderboard_text", operators=("K-3", "O-2", "E-10", "E-11"),
-       sql=with_views("decay_total", "accounts", extra=_BOARDS_SQL) + """
+       sql=with_views("decay_total", "accounts", extra=_BOARDS_SQL.replace("SERIES", "decay_total")) + """
 SELECT measure, month || chr(9) || doc AS line FROM docs""")
-def leaderboard_text(spark, d):
+def leaderboard_text(spark, d, cumulative=False):
     path = scratch_path(spark, "leaderboard-text")
-    W.write_leaderboard_text(_docs(spark, d), path)
+    W.write_leaderboard_text(_docs(spark, d, cumulative), path)
     return spark.read.schema("value string, measure string").text(path).select(
         "measure", F.col("value").alias("line")
     )
 
 
+query("leaderboard_text_cumulative", operators=("K-3", "A-6"),
+      sql=with_views("cumulative_total", "accounts", extra=_BOARDS_SQL.replace("SERIES", "cumulative_total")) + """
+SELECT measure, month || chr(9) || doc AS line FROM docs""")(
+    lambda spark, d: leaderboard_text(spark, d, cumulative=True)
+)
+
+
 @query("leaderboard_json", operators=("K-4", "E-10"),
-       sql=with_views("decay_total", "accounts", extra=_BOARDS_SQL) + """
+       sql=with_views("decay_total", "accounts", extra=_BOARDS_SQL.replace("SERIES", "decay_total")) + """
 SELECT measure, month, doc FROM docs""")
 def leaderboard_json(spark, d):
     path = scratch_path(spark, "leaderboard-json")
