@@ -82,3 +82,18 @@ def test_one_entity_scan_prunes_to_one_bucket(spark, sf):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(account,7)" in plan
     assert one.count() == p.filter("account = 7").count() > 0
+
+
+def test_leaderboard_text_files_are_in_month_order(spark, sf):
+    import glob
+    import os
+
+    from pulsegraph.plans import q_sinks
+    path = scratch_path(spark, "lb-text")
+    W.write_leaderboard_text(q_sinks._docs(spark, sf), path)
+    local = path.replace("file:", "")
+    for measure in ("like", "repost", "comment", "total"):
+        files = [f for f in glob.glob(os.path.join(local, f"measure={measure}", "part-*")) if not f.endswith(".crc")]
+        assert len(files) == 1  # one file per measure
+        months = [line.split("\t", 1)[0] for line in open(files[0]).read().splitlines()]
+        assert months == sorted(months) and len(months) == 83
