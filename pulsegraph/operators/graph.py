@@ -159,6 +159,9 @@ def _power_iterations(
     )
     state = verts.select("id", F.lit(1.0).alias("rank")).checkpoint()
     done = 0
+    if state.limit(1).count() == 0:  # no vertices: nothing to iterate
+        edges.unpersist()
+        return state
     try:
         while done < max_iter:
             steps = min(batch, max_iter - done)
@@ -349,6 +352,8 @@ def strongly_connected_components(
             found = found.union(back).checkpoint()
         done = found if done is None else done.union(found)
         active = active.join(found, "id", "left_anti").checkpoint()
+    if done is None:  # no vertices at all
+        return active.select("id", F.col("id").alias("component"))
     return done
 
 
