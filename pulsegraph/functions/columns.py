@@ -71,4 +71,5 @@ def java_string_hash(text: str | Column) -> Column:
         F.lit(0).cast("bigint"),
         lambda h, c: F.when(c.isNull(), h).otherwise((h * 31 + c) % F.lit(4294967296)),
     )
-    return F.when(unsigned >= 2147483648, unsigned - 4294967296).otherwise(unsigned).cast("int")
+    signed = F.when(unsigned >= 2147483648, unsigned - 4294967296).otherwise(unsigned).cast("int")
+    return F.when(t.isNull(), F.lit(None).cast("int")).otherwise(signed)
