@@ -100,3 +100,21 @@ def test_triangles_on_a_hub_graph_match_brute_force(spark):
     for v, nb in adj.items():
         want[v] = sum(1 for x, y in combinations(sorted(nb), 2) if y in adj.get(x, ()))
     assert got == want
+
+
+def test_string_hash_on_random_bmp_text(spark):
+    from pulsegraph.functions.columns import java_string_hash
+
+    rnd = random.Random(9)
+    alphabet = [chr(c) for c in list(range(32, 127)) + list(range(0xA0, 0x2FF)) + list(range(0x4E00, 0x4E80))]
+    words = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))) for _ in range(300)]
+
+    def jvm_hash(s):
+        h = 0
+        for ch in s:  # BMP only: one UTF-16 unit per character
+            h = (h * 31 + ord(ch)) & 0xFFFFFFFF
+        return h - (1 << 32) if h >= (1 << 31) else h
+
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, s string")
+    got = {r.i: r.h for r in df.select("i", java_string_hash("s").alias("h")).collect()}
+    assert got == {i: jvm_hash(w) for i, w in enumerate(words)}
