@@ -2,7 +2,9 @@
 
 ``bounded_broadcast`` runs ``limit(max_rows + 1).count()`` on the small side –
 a job that stops after ``max_rows + 1`` rows – and broadcasts it only when the
-bound holds.  Beyond the bound the plain DataFrame is returned and Spark plans
+bound holds.  When the optimizer already estimates the side at many GB the
+count is skipped (it would be a full pass over a big input) and the join is
+left to the planner and AQE's run-time conversion.  Beyond the bound the plain DataFrame is returned and Spark plans
 a shuffle join (sort-merge, with AQE skew splitting), so a dictionary that
 grows with the data never gets shipped to every executor.
 """
@@ -16,8 +18,25 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    if df.isStreaming:
+# Above this optimizer size estimate the bounded count is skipped: proving a
+# small result would cost a full pass over a big input (done again by the
+# join); AQE still broadcasts at run time if the measured side is small.
+DEFAULT_MAX_ESTIMATE_BYTES = 8 << 30
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: fall back to counting
+        return 0
+
+
+def bounded_broadcast(
+    df: DataFrame,
+    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    max_estimate_bytes: int = DEFAULT_MAX_ESTIMATE_BYTES,
+) -> DataFrame:
+    if df.isStreaming or _estimated_bytes(df) > max_estimate_bytes:
         return df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

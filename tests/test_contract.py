@@ -56,3 +56,11 @@ def test_lookup_broadcasts_only_under_the_bound(spark, sf):
         assert "SortMergeJoin" in _plan(big)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_huge_estimate_skips_the_count(spark, sf):
+    from pulsegraph.operators.joins import bounded_broadcast
+    acc = T.accounts(spark, sf)
+    assert "broadcast" in bounded_broadcast(acc)._jdf.queryExecution().logical().toString()
+    skipped = bounded_broadcast(acc, max_estimate_bytes=1)
+    assert "broadcast" not in skipped._jdf.queryExecution().logical().toString()
