@@ -330,7 +330,8 @@ def strongly_connected_components(
     vertices; found SCCs retire.  Round 1 colours forward only (it resolves
     graphs whose small ids sit upstream, like the test graphs, in one round);
     later rounds also colour backward, so a chain is resolved whichever way
-    its ids increase.  Every round retires at least the SCC of the smallest
+    its ids increase, and trim vertices without active in- or out-edges
+    (singleton SCCs).  Every round retires at least the SCC of the smallest
     active id.
     """
     checkpoint_root(edges.sparkSession)
@@ -348,8 +349,12 @@ def strongly_connected_components(
         )
         found = _retire(active, ae, True, batch, max_iter).checkpoint()
         if rnd > 0:
-            back = _retire(active, ae, False, batch, max_iter).join(found, "id", "left_anti")
-            found = found.union(back).checkpoint()
+            back = _retire(active, ae, False, batch, max_iter)
+            # trim: an active vertex without active in- or out-edges is alone
+            no_in = active.join(ae.select(F.col("dst").alias("id")), "id", "left_anti")
+            no_out = active.join(ae.select(F.col("src").alias("id")), "id", "left_anti")
+            trivial = no_in.union(no_out).select("id", F.col("id").alias("component"))
+            found = found.union(back).union(trivial).dropDuplicates(["id"]).checkpoint()
         done = found if done is None else done.union(found)
         active = active.join(found, "id", "left_anti").checkpoint()
     if done is None:  # no vertices at all
