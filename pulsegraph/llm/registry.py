@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegraph.llm import bpe, dedup, mixing, sharding
+from pulsegraph.llm import bpe, dedup, mixing, sharding, simhash
 from pulsegraph.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -43,6 +43,10 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited_fingerprints(documents(spark, sf_dir))
+
+
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(documents(spark, sf_dir), SHARDS)
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mix": op3_mix,
+    "op4_simhash": op4_simhash,
     "op7_shard": op7_shard,
 }
 
