@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegraph.llm import bpe, dedup, mixing, sharding, simhash
+from pulsegraph.llm import bpe, dedup, html_text, licenses, mixing, ngram_join, secrets, sharding, simhash, toxicity
 from pulsegraph.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -47,16 +47,45 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(documents(spark, sf_dir))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_digest(documents(spark, sf_dir))
+
+
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(documents(spark, sf_dir), SHARDS)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity.classify(documents(spark, sf_dir), labels)
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_digest(documents(spark, sf_dir))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rendered text of every page, its length and digest."""
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    return html_text.extract(pages).select(
+        "page_id", F.length("text").cast("long").alias("n_chars"), "text", F.sha2("text", 256).alias("text_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mix": op3_mix,
     "op4_simhash": op4_simhash,
+    "op5_ngram_join": op5_ngram_join,
+    "op6_secrets": op6_secrets,
     "op7_shard": op7_shard,
+    "op8_toxicity": op8_toxicity,
+    "op9_licenses": op9_licenses,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL}
