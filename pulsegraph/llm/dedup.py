@@ -37,7 +37,9 @@ def heavy_digests(digests: DataFrame, counters: int) -> DataFrame:
         .agg(F.expr(f"approx_top_k_accumulate(prefix, {counters})").alias("sketch"))
     )
     candidates = (
-        sketches.agg(F.expr(f"approx_top_k_combine(sketch, {counters})").alias("sketch"))
+        # grouped, since a global combine fails on partitions without any sketch
+        sketches.groupBy((F.col("part") * 0).alias("all"))
+        .agg(F.expr(f"approx_top_k_combine(sketch, {counters})").alias("sketch"))
         .select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {counters})")).alias("top"))
         .where(F.col("top.item").isNotNull() & (F.col("top.count") > 1))
         .select(F.col("top.item").alias("prefix"))
