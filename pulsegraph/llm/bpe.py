@@ -47,10 +47,12 @@ END = "Ā"
 NEVER = np.int64(1) << 40
 
 #: what stands between spaces, and words, that a task keeps encoded
-CACHE_CHUNKS = 600_000
-CACHE_WORDS = 200_000
+CACHE_CHUNKS = 250_000
+CACHE_WORDS = 100_000
 #: characters that are split at a time
 PIECE_CHARS = 1 << 20
+#: rows that are encoded before they are sent on
+BATCH_ROWS = 500
 #: failing words up to this length are merged together, longer ones with a heap each
 TOGETHER_CHARS = 64
 
@@ -325,6 +327,33 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+def slices(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``BATCH_ROWS``: what a task makes of one stays small."""
+    for batch in stream:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
+def encode_batches(stream: Iterable[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
+    """Replace the last column, a text, by ``n_tokens`` and ``token_ids``."""
+    bpe, cache = load(tokenizer), Cache()
+    for batch in slices(stream):
+        *kept, texts = batch.columns
+        packed = bpe.encode_all([t or "" for t in texts.to_pylist()], cache)
+        yield pa.RecordBatch.from_arrays(
+            [*kept, pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary())],
+            names=[*batch.schema.names[:-1], "n_tokens", "token_ids"])
+
+
+def decode_batches(stream: Iterable[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
+    """Add ``decoded`` behind the last column, packed token ids."""
+    bpe = load(tokenizer)
+    for batch in slices(stream):
+        texts = [bpe.decode(p or b"") for p in batch.columns[-1].to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
+                                         names=[*batch.schema.names, "decoded"])
+
+
 def _kept(df: DataFrame, keep: tuple[str, ...]) -> StructType:
     return StructType([df.schema[c] for c in keep])
 
@@ -332,28 +361,20 @@ def _kept(df: DataFrame, keep: tuple[str, ...]) -> StructType:
 def encode(docs: DataFrame, tokenizer: str, text_col: str = "text",
            keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``n_tokens`` and ``token_ids`` (little-endian unsigned 32-bit, packed)."""
-    def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, cache = load(tokenizer), Cache()
-        for batch in stream:
-            packed = bpe.encode_all([t or "" for t in batch.column(len(keep)).to_pylist()], cache)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(keep))),
-                 pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary())],
-                names=[*keep, "n_tokens", "token_ids"])
-
     schema = _kept(docs, keep).add("n_tokens", LongType()).add("token_ids", BinaryType())
-    return docs.select(*keep, docs[text_col].cast("string")).mapInArrow(batches, schema)
+    return docs.select(*keep, docs[text_col].cast("string")).mapInArrow(
+        lambda stream: encode_batches(stream, tokenizer), schema)
 
 
 def decode(tokens: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and ``decoded``, from the packed ``token_ids``."""
-    def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(tokenizer)
-        for batch in stream:
-            texts = [bpe.decode(p or b"") for p in batch.column(len(keep)).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(keep))), pa.array(texts, pa.string())],
-                names=[*keep, "decoded"])
-
-    schema = _kept(tokens, keep).add("decoded", StringType())
-    return tokens.select(*keep, "token_ids").mapInArrow(batches, schema)
+    """``keep`` columns, the packed ``token_ids`` and what they decode to."""
+    schema = _kept(tokens, keep).add("token_ids", BinaryType()).add("decoded", StringType())
+    return tokens.select(*keep, "token_ids").mapInArrow(lambda stream: decode_batches(stream, tokenizer), schema)
+
+
+def round_trip(docs: DataFrame, tokenizer: str, text_col: str = "text",
+               keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``encode`` and then ``decode`` in one pass: one Python worker a task instead of two."""
+    schema = _kept(docs, keep).add("n_tokens", LongType()).add("token_ids", BinaryType()).add("decoded", StringType())
+    return docs.select(*keep, docs[text_col].cast("string")).mapInArrow(
+        lambda stream: decode_batches(encode_batches(stream, tokenizer), tokenizer), schema)

@@ -17,10 +17,9 @@ SHARDS = 40
 
 def bpe_round_trip(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """Digests of the token ids and of the text they decode to."""
-    encoded = bpe.encode(docs, tokenizer)
-    decoded = bpe.decode(encoded, tokenizer, keep=("doc_id", "n_tokens", "token_ids"))
-    return decoded.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
-                          F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.round_trip(docs, tokenizer).select(
+        "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
