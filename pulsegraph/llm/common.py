@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +40,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def buckets_for(rows: int, rows_per_bucket: int) -> int:
-    return max(1, -(-rows // rows_per_bucket))
+def buckets_for(rows: int) -> int:
+    """Buckets per key of a running total: rows in a bucket and buckets of a
+    key both grow as the square root of the rows."""
+    return max(1, math.isqrt(rows) // 4)
 
 
 def running_total(df: DataFrame, keys: list[str], bucket: str, order: list[str],

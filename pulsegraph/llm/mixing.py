@@ -17,8 +17,8 @@ The number of slots is at most ``slots`` at any input size, so a source comes
 within a few times total / ``slots`` words of its target.  All sums are of
 integers and all orders are by hash and id: reruns agree.
 
-Running sums over a source go through buckets of about ``rows_per_bucket``
-rows (a source may hold a third of all rows).  The catalogue of sources - one
+Running sums over a source go through buckets (a source may hold a third of
+all rows).  The catalogue of sources - one
 row each - is the only table that is ordered in one task.
 
 Defined results: null or empty text has size 0 and gives nothing; null is a
@@ -79,8 +79,7 @@ def schedule(targets: DataFrame, n_slots: int, n_sources: int, chunk: int = 65_5
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        slots: int = 1 << 20, max_passes: int = 3, seed: int = 0,
-        rows_per_bucket: int = 65_536) -> DataFrame:
+        slots: int = 1 << 20, max_passes: int = 3, seed: int = 0) -> DataFrame:
     """``doc_id, size, source, source_size, target, taken``: one row per input row."""
     sized = materialise(
         docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
@@ -97,7 +96,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                .select("source", "src", "source_size", "target",
                        F.least(F.coalesce("given", F.lit(0)) * block,
                                F.col("source_size") * max_passes).alias("limit")))
-    n_buckets = buckets_for(sized.count(), rows_per_bucket)
+    n_buckets = buckets_for(sized.count())
     order = F.xxhash64(F.lit(seed), F.col("doc_id"))
     known = (sized.join(sources.withColumnRenamed("source", "__source"),
                         F.col("source").eqNullSafe(F.col("__source"))).drop("__source")

@@ -51,7 +51,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegraph.llm.common import materialise, text_or_empty
@@ -62,6 +62,8 @@ GROUPS = 64
 #: chance per linked pair that it shares no signature
 MISS = 1e-22
 TREE_ROWS = 2048
+#: of whole sets, 8 bytes a shingle
+BLOCK_BYTES = 32 << 20
 LEAF = 16
 #: word hashes that a task remembers
 CACHE_WORDS = 500_000
@@ -227,59 +229,93 @@ def _small_groups(group: np.ndarray, points: np.ndarray) -> Iterator[tuple[np.nd
 
 # -- links ---------------------------------------------------------------------
 
-def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that link: count vectors first, then the whole sets.
+CELL = ["cell", "left", "right"]
 
-    Only the sets of documents in surviving pairs are built, and only they move.
-    """
+
+def bounded(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose count vectors reach the threshold, with their cells."""
     def bound(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, GROUPS) for i in (2, 3))
+                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, GROUPS) for i in (5, 6))
                 i = np.arange(len(a))
-                keep = _bounded((a, a), i, (b, b), i)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
+                keep = pa.array(_bounded((a, a), i, (b, b), i))
+                yield batch.select(range(5)).filter(keep)
+
+    vectors = reps.select("id", "counts")
+    schema = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in ("a", "b", *CELL))
+    return (pairs.join(vectors.withColumnRenamed("id", "a").withColumnRenamed("counts", "x"), "a")
+            .join(vectors.withColumnRenamed("id", "b").withColumnRenamed("counts", "y"), "b")
+            .select("a", "b", *CELL, "x", "y").mapInArrow(bound, schema))
+
+
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that link, by their whole sets.
+
+    Only the sets of documents in ``pairs`` are built.  A set goes once to
+    each cell that has a pair of its document, not once for each pair; a cell
+    holds about twice ``BLOCK_BYTES`` of sets.
+    """
+    near = materialise(pairs, "near")
+    members = near.select(*CELL, F.col("a").alias("id")).union(near.select(*CELL, "b")).distinct()
+    needed = materialise(members.select("id").distinct(), "needed")
+    named = docs.select(F.col("doc_id").alias("id"), text_or_empty().alias("text"))
+    whole = whole_sets(named.join(needed, "id", "left_semi").dropDuplicates(["id"]), "id", "text")
+    id_type = near.schema["a"].dataType.simpleString()
+    rows = (members.join(whole, "id").select(*CELL, F.lit(False).alias("pair"), "id", F.lit(None).cast(id_type).alias("b"), "shingles")
+            .unionByName(near.select(*CELL, F.lit(True).alias("pair"), F.col("a").alias("id"), "b",
+                                     F.lit(None).cast("binary").alias("shingles"))))
 
     def links(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Cell by cell: first the sets, then the pairs."""
+        at, held = None, {}
         for batch in stream:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                keep.append(180 * int((y[at] == x).sum()) >= 80 * (len(x) + len(y)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(
-                pa.array(keep, pa.bool_()))
-
-    id_type = pairs.schema["a"].dataType.simpleString()
-    vectors = reps.select(F.col("id"), "counts")
-    near = materialise(
-        pairs.join(vectors.withColumnRenamed("id", "a").withColumnRenamed("counts", "x"), "a")
-        .join(vectors.withColumnRenamed("id", "b").withColumnRenamed("counts", "y"), "b")
-        .select("a", "b", "x", "y").mapInArrow(bound, f"a {id_type}, b {id_type}"), "near")
-    needed = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-    named = docs.select(F.col("doc_id").alias("id"), text_or_empty().alias("text"))
-    whole = materialise(
-        whole_sets(named.join(needed, "id", "left_semi").dropDuplicates(["id"]), "id", "text"), "sets")
-    return (near.join(whole.withColumnRenamed("id", "a").withColumnRenamed("shingles", "x"), "a")
-            .join(whole.withColumnRenamed("id", "b").withColumnRenamed("shingles", "y"), "b")
-            .select("a", "b", "x", "y").mapInArrow(links, f"a {id_type}, b {id_type}"))
+            out: list[tuple] = []
+            cells = zip(*(batch.column(i).to_pylist() for i in range(3)))
+            rows = zip(cells, *(batch.column(i).to_pylist() for i in (3, 4, 5)), batch.column(6))
+            for cell, pair, a, b, shingles in rows:
+                if cell != at:
+                    at, held = cell, {}
+                if not pair:
+                    held[a] = np.frombuffer(shingles.as_py(), np.uint64)
+                    continue
+                x, y = held[a], held[b]
+                near = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                if reaches(int((y[near] == x).sum()), len(x) + len(y)):
+                    out.append((a, b))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[i] for x in out], batch.schema.field(4).type) for i in (0, 1)], names=["a", "b"])
+
+    return (rows.repartition(*CELL).sortWithinPartitions(*CELL, "pair")
+            .mapInArrow(links, f"a {id_type}, b {id_type}"))
 
 
 def star_pairs(signatures: DataFrame) -> DataFrame:
-    """Each representative with the smallest one of every signature it shares."""
+    """Each representative with the smallest one of every signature it shares;
+    a cell is a part of what hangs under one of these."""
     leaders = (signatures.groupBy("hash").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("rows"))
                .where("rows > 1").drop("rows"))
-    return signatures.join(leaders, "hash").where("id > a").select("a", F.col("id").alias("b")).distinct()
+    pairs = materialise(signatures.join(leaders, "hash").where("id > a")
+                        .groupBy("a", F.col("id").alias("b")).agg(F.min("n").alias("n")), "star-pairs")
+    parts = pairs.groupBy("a").agg(_blocks(F.sum("n"), F.count(F.lit(1))).alias("blocks"))
+    return pairs.join(parts, "a").select("a", "b", F.col("a").cast("string").alias("cell"), F.lit(0).alias("left"),
+                                         F.pmod(F.xxhash64("b"), "blocks").cast("int").alias("right"))
+
+
+def _blocks(shingles: Column, rows: Column) -> Column:
+    """Into how many blocks a group is dealt out, so that one has about
+    ``TREE_ROWS`` documents and ``BLOCK_BYTES`` of sets at most."""
+    return F.ceil(F.greatest(rows / TREE_ROWS, shingles * 8 / BLOCK_BYTES)).cast("int")
 
 
 def cross_pairs(signatures: DataFrame, reps: DataFrame, component: DataFrame) -> DataFrame:
     """Pairs of different components that share a signature and whose bound
     reaches the threshold, by tree joins."""
     known = signatures.join(component, "id", "left").select(
-        "hash", "id", F.coalesce("component", "id").alias("component"))
+        "hash", "id", "n", F.coalesce("component", "id").alias("component"))
     mixed = (known.groupBy("hash").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                       F.count(F.lit(1)).alias("rows"))
-             .where("low < high").select("hash", F.ceil(F.col("rows") / TREE_ROWS).cast("int").alias("blocks")))
+                                       _blocks(F.sum("n"), F.count(F.lit(1))).alias("blocks"))
+             .where("low < high").select("hash", "blocks"))
     rows = known.join(mixed, "hash").join(reps.select("id", "counts"), "id")
     # block i meets blocks i.. as the left side and blocks ..i as the right one
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
@@ -289,7 +325,7 @@ def cross_pairs(signatures: DataFrame, reps: DataFrame, component: DataFrame) ->
              .select("hash", "meet.left", "meet.right", "own", "id", "component", "counts"))
     id_type = reps.schema["id"].dataType.simpleString()
 
-    def join_groups(table: pa.Table) -> pa.RecordBatch:
+    def join_groups(table: pa.Table) -> pa.Table:
         h, left, right, own = (table.column(c).to_numpy() for c in ("hash", "left", "right", "own"))
         ids, comp = table.column("id"), table.column("component").to_numpy()
         points = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4").reshape(-1, GROUPS)
@@ -311,8 +347,9 @@ def cross_pairs(signatures: DataFrame, reps: DataFrame, component: DataFrame) ->
         j = np.concatenate([np.empty(0, np.int64), *(f[1] for f in found)])
         keep = comp[i] != comp[j]
         # small groups of two blocks hold pairs of one block too; those come again from its own
-        a, b = ids.take(pa.array(i[keep])), ids.take(pa.array(j[keep]))
-        return pa.table({"a": a, "b": b})
+        i, j = i[keep], j[keep]
+        return pa.table({"a": ids.take(pa.array(i)), "b": ids.take(pa.array(j)), "hash": h[i], "left": left[i],
+                         "right": right[i]})
 
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole groups at a time: what may go on in the next batch waits."""
@@ -331,8 +368,11 @@ def cross_pairs(signatures: DataFrame, reps: DataFrame, component: DataFrame) ->
             yield from join_groups(pa.Table.from_batches(waiting)).to_batches()
 
     pairs = (tasks.repartition("hash", "left", "right").sortWithinPartitions("hash", "left", "right")
-             .mapInArrow(batches, f"a {id_type}, b {id_type}"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+             .mapInArrow(batches, f"a {id_type}, b {id_type}, hash bigint, left int, right int"))
+    # a pair is found under many signatures; the smallest one's tree is its cell
+    return (pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            .agg(F.min(F.struct("hash", "left", "right")).alias("m"))
+            .select("a", "b", F.col("m.hash").cast("string").alias("cell"), "m.left", "m.right"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -341,12 +381,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     all_sets = materialise(sets(docs), "sets")
     some = all_sets.where("n_shingles > 0 and doc_id is not null")
     classes = materialise(some.groupBy("digest").agg(
-        F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.first("counts").alias("counts")), "classes")
+        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"),
+        F.first("counts").alias("counts")), "classes")
     reps = classes.select("id", "counts")
-    signatures = materialise(classes.select("id", F.explode("signature").alias("hash")), "signatures")
-    star = materialise(verified(star_pairs(signatures), reps, docs), "star")
+    signatures = materialise(classes.select("id", F.col("n").cast("int").alias("n"), F.explode("signature").alias("hash")), "signatures")
+    star = materialise(verified(bounded(star_pairs(signatures), reps), docs), "star")
     first = materialise(components(star), "first")
-    cross = materialise(verified(cross_pairs(signatures, reps, first), reps, docs), "cross")
+    cross = materialise(verified(cross_pairs(signatures, reps, first), docs), "cross")
     final = components(star.unionByName(cross))
     of_class = classes.select("digest", "id").join(final, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component"))

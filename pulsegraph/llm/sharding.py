@@ -42,8 +42,7 @@ def jump_hash(key: Column, shards: int) -> Column:
                        lambda at: at["shard"].cast("int"))
 
 
-def shard_rows(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text",
-               rows_per_bucket: int = 65_536) -> DataFrame:
+def shard_rows(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard``: one row per input row."""
     key = row_key(id_col)
     rows = materialise(
@@ -57,7 +56,7 @@ def shard_rows(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: s
             F.xxhash64(F.lit("slot"), key).alias("__order")),
         "shards")
     count = rows.count()
-    rows = rows.withColumn("__bucket", F.pmod("__order", F.lit(buckets_for(count, rows_per_bucket))))
+    rows = rows.withColumn("__bucket", F.pmod("__order", F.lit(buckets_for(count))))
     slotted = running_total(rows, ["shard"], "__bucket",
                             ["__order", "doc_id", "text_crc32", "size"], F.lit(1), "slot")
     return slotted.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
