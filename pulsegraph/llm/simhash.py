@@ -121,15 +121,18 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts has a row for each, and lends to the id before the text part, and
     the fingerprint, that is smallest; a lone document follows itself.
     """
-    own = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col).alias("key"),
-                      text_or_empty(text_col).alias("text"))
-    own = own.withColumn("n_chars", F.length("text").cast("long"))
-    links = materialise(following(own.select("key", "doc_id", "n_chars")), "links")
+    id_type = docs.schema[id_col].dataType
+    # key and text alone, so both joins below share one exchange of the texts
+    own = docs.select(row_key(id_col).alias("key"), text_or_empty(text_col).alias("text"))
+    sizes = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col).alias("key"),
+                        F.length(text_or_empty(text_col)).cast("long").alias("n_chars"))
+    links = materialise(following(sizes), "links")
     lent = (own.join(links.select(F.col("next_key").alias("key"), F.col("key").alias("to"), "take"), "key")
             .groupBy("to").agg(F.min(F.expr("left(text, take)")).alias("head")))
-    quarter = F.floor(F.col("n_chars") / 4).cast("int")
     edited = (own.join(lent.withColumnRenamed("to", "key"), "key", "left")
-              .withColumn("quarter", quarter)
+              .withColumn("doc_id", F.nullif("key", F.lit("")).cast(id_type))
+              .withColumn("n_chars", F.length("text").cast("long"))
+              .withColumn("quarter", F.floor(F.col("n_chars") / 4).cast("int"))
               .withColumn("edited", F.expr("concat(left(text, n_chars - quarter), left(coalesce(head, ''), quarter))"))
               .withColumn("text_sha", F.sha2("text", 256)).withColumn("edited_sha256", F.sha2("edited", 256)))
     keys = ["key", "doc_id", "n_chars", "text_sha", "edited_sha256"]
