@@ -31,6 +31,9 @@ more than one component; only there trees are built, and only pairs of
 different components compared.  No pair inside a component is lost that would
 change it, and no group of near copies is expanded into all its pairs.
 
+A pair is reported by the tree of the smallest signature that it shares, so
+the many trees that hold it write it out once.
+
 A signature shared by more than ``TREE_ROWS`` documents of different
 components is dealt out in blocks, every two blocks (and each with itself)
 being a tree join of its own, so no task receives an unbounded group.
@@ -65,6 +68,8 @@ TREE_ROWS = 2048
 #: of whole sets, 8 bytes a shingle
 BLOCK_BYTES = 32 << 20
 LEAF = 16
+#: bound of the broadcast that filters texts before their sets are built
+FILTER_SLOTS = 1 << 20
 #: word hashes that a task remembers
 CACHE_WORDS = 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -260,7 +265,11 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     members = near.select(*CELL, F.col("a").alias("id")).union(near.select(*CELL, "b")).distinct()
     needed = materialise(members.select("id").distinct(), "needed")
     named = docs.select(F.col("doc_id").alias("id"), text_or_empty().alias("text"))
-    whole = whole_sets(named.join(needed, "id", "left_semi").dropDuplicates(["id"]), "id", "text")
+    # most texts fall at a filter of at most FILTER_SLOTS hash values, before the shuffle by id
+    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_SLOTS))
+    slots = needed.select(slot.alias("slot")).distinct()
+    some = named.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
+    whole = whole_sets(some.join(needed, "id", "left_semi").dropDuplicates(["id"]), "id", "text")
     id_type = near.schema["a"].dataType.simpleString()
     rows = (members.join(whole, "id").select(*CELL, F.lit(False).alias("pair"), "id", F.lit(None).cast(id_type).alias("b"), "shingles")
             .unionByName(near.select(*CELL, F.lit(True).alias("pair"), F.col("a").alias("id"), "b",
@@ -316,13 +325,17 @@ def cross_pairs(signatures: DataFrame, reps: DataFrame, component: DataFrame) ->
     mixed = (known.groupBy("hash").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                        _blocks(F.sum("n"), F.count(F.lit(1))).alias("blocks"))
              .where("low < high").select("hash", "blocks"))
-    rows = known.join(mixed, "hash").join(reps.select("id", "counts"), "id")
+    rows = known.join(mixed, "hash")
+    # at most signature_size hashes each
+    shared = rows.groupBy("id").agg(F.collect_list("hash").alias("shared"))
+    rows = (rows.join(reps.select("id", "counts").join(shared, "id"), "id")
+            .withColumn("lower", F.filter("shared", lambda x: x < F.col("hash"))))
     # block i meets blocks i.. as the left side and blocks ..i as the right one
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
         F.least(own, other).alias("left"), F.greatest(own, other).alias("right")))
     tasks = (rows.withColumn("own", own).withColumn("meet", F.explode(meets))
-             .select("hash", "meet.left", "meet.right", "own", "id", "component", "counts"))
+             .select("hash", "meet.left", "meet.right", "own", "id", "component", "counts", "lower"))
     id_type = reps.schema["id"].dataType.simpleString()
 
     def join_groups(table: pa.Table) -> pa.Table:
@@ -348,6 +361,9 @@ def cross_pairs(signatures: DataFrame, reps: DataFrame, component: DataFrame) ->
         keep = comp[i] != comp[j]
         # small groups of two blocks hold pairs of one block too; those come again from its own
         i, j = i[keep], j[keep]
+        lower = dict(zip((at := np.unique(np.r_[i, j])).tolist(), map(frozenset, table.column("lower").take(pa.array(at)).to_pylist())))
+        first = np.fromiter((lower[x].isdisjoint(lower[y]) for x, y in zip(i.tolist(), j.tolist())), bool, len(i))
+        i, j = i[first], j[first]
         return pa.table({"a": ids.take(pa.array(i)), "b": ids.take(pa.array(j)), "hash": h[i], "left": left[i],
                          "right": right[i]})
 
@@ -369,7 +385,8 @@ def cross_pairs(signatures: DataFrame, reps: DataFrame, component: DataFrame) ->
 
     pairs = (tasks.repartition("hash", "left", "right").sortWithinPartitions("hash", "left", "right")
              .mapInArrow(batches, f"a {id_type}, b {id_type}, hash bigint, left int, right int"))
-    # a pair is found under many signatures; the smallest one's tree is its cell
+    # a pair is reported under the smallest signature it shares, whose tree is its
+    # cell; trees of two blocks may repeat what those of one block report
     return (pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             .agg(F.min(F.struct("hash", "left", "right")).alias("m"))
             .select("a", "b", F.col("m.hash").cast("string").alias("cell"), "m.left", "m.right"))
