@@ -41,6 +41,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
+from pulsegraph.llm.common import fresh
+
 WORD_END = "</w>"
 #: stands behind the last byte of a word while tokens are looked up (bytes are read as Latin-1)
 END = "Ā"
@@ -362,7 +364,7 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text",
            keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``n_tokens`` and ``token_ids`` (little-endian unsigned 32-bit, packed)."""
     schema = _kept(docs, keep).add("n_tokens", LongType()).add("token_ids", BinaryType())
-    return docs.select(*keep, docs[text_col].cast("string")).mapInArrow(
+    return docs.select(*keep, docs[text_col].cast("string").alias(fresh(docs, "__text"))).mapInArrow(
         lambda stream: encode_batches(stream, tokenizer), schema)
 
 
@@ -376,5 +378,5 @@ def round_trip(docs: DataFrame, tokenizer: str, text_col: str = "text",
                keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``encode`` and then ``decode`` in one pass: one Python worker a task instead of two."""
     schema = _kept(docs, keep).add("n_tokens", LongType()).add("token_ids", BinaryType()).add("decoded", StringType())
-    return docs.select(*keep, docs[text_col].cast("string")).mapInArrow(
+    return docs.select(*keep, docs[text_col].cast("string").alias(fresh(docs, "__text"))).mapInArrow(
         lambda stream: decode_batches(encode_batches(stream, tokenizer), tokenizer), schema)

@@ -26,6 +26,14 @@ def row_key(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared checkpoint folder and read it back.
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegraph.llm.common import materialise, row_key, text_or_empty
+from pulsegraph.llm.common import fresh, materialise, row_key, text_or_empty
 
 #: sketches of the first level; the second level merges as many
 FAN_IN = 64
@@ -90,11 +90,11 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     Texts move once, in the join with the kept ids; rows that repeat id and
     text meet in the same task and leave one.
     """
-    keep = (exact_duplicates(docs).where("kept")
-            .select(row_key().alias("__key"), F.col("text_sha256").alias("__sha")))
+    key, sha = fresh(docs, "__key"), fresh(docs, "__sha")
+    keep = exact_duplicates(docs).where("kept").select(row_key().alias(key), F.col("text_sha256").alias(sha))
     return (
-        docs.withColumn("__key", row_key()).withColumn("__sha", F.sha2(text_or_empty(), 256))
-        .join(keep, ["__key", "__sha"], "left_semi")
-        .dropDuplicates(["__key", "__sha"])
-        .drop("__key", "__sha")
+        docs.withColumn(key, row_key()).withColumn(sha, F.sha2(text_or_empty(), 256))
+        .join(keep, [key, sha], "left_semi")
+        .dropDuplicates([key, sha])
+        .drop(key, sha)
     )

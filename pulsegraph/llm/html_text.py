@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructType
 
+from pulsegraph.llm.common import fresh
+
 # fixed values of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -286,4 +288,4 @@ def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("
                                              names=[*keep, "text"])
 
     schema = StructType([pages.schema[c] for c in keep]).add("text", StringType())
-    return pages.select(*[pages[c] for c in keep], pages[html_col].cast("string")).mapInArrow(batches, schema)
+    return pages.select(*[pages[c] for c in keep], pages[html_col].cast("string").alias(fresh(pages, "__html"))).mapInArrow(batches, schema)

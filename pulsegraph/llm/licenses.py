@@ -29,6 +29,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsegraph.llm.common import fresh
+
 #: fixed wording of public licenses and of the notices that name them
 TEMPLATES: dict[str, str] = {
     "Apache-2.0": (
@@ -210,7 +212,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, limits: Limit
                                              names=[*keep, "notices"])
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*[docs[c] for c in keep], docs[text_col].cast("string")).mapInArrow(
+    return docs.select(*[docs[c] for c in keep], docs[text_col].cast("string").alias(fresh(docs, "__text"))).mapInArrow(
         batches, f"{kept}, notices array<struct<start: bigint, end: bigint, license: string, saving: double, "
                  "n_differences: bigint, differences: string>>")
 

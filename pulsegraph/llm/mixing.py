@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegraph.llm.common import WORD, buckets_for, materialise, running_total, text_or_empty
+from pulsegraph.llm.common import WORD, buckets_for, fresh, materialise, running_total, text_or_empty
 
 GOLDEN = (5 ** 0.5 - 1) / 2
 
@@ -130,11 +130,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix with all their columns: a row for each whole
     time that the mix takes the document's words, halves rounded up."""
+    key, n, copy = (fresh(docs, x) for x in ("__id", "__copies", "__copy"))
     copies = (mix(docs).where("taken > 0")
-              .select(F.col("doc_id").alias("__id"),
-                      F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("__copies"))
-              .where("__copies > 0"))
-    copies = copies.groupBy("__id").agg(F.max("__copies").alias("__copies"))
-    return (docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__id")))
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-            .drop("__id", "__copies", "__copy"))
+              .groupBy(F.col("doc_id").alias(key))
+              .agg(F.max(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias(n)).where(F.col(n) > 0))
+    return (docs.join(copies, F.col("doc_id").eqNullSafe(F.col(key)))
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n))))
+            .drop(key, n, copy))

@@ -57,7 +57,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegraph.llm.common import materialise, text_or_empty
+from pulsegraph.llm.common import fresh, materialise, text_or_empty
 from pulsegraph.llm.components import components
 
 N = 5
@@ -416,6 +416,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the smallest id of their component, with all their columns."""
+    key = fresh(docs, "__id")
     keep = near_duplicates(docs).where("doc_id = component_id or component_id is null").select(
-        F.col("doc_id").alias("__id")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+        F.col("doc_id").alias(key)).distinct()
+    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from pulsegraph.llm.common import text_or_empty
+from pulsegraph.llm.common import fresh, text_or_empty
 
 WORD_BYTES = 64
 LEVEL = 6
@@ -233,7 +233,7 @@ def score(docs: DataFrame, model: ToxicityModel | None, text_col: str = "text",
                                              names=[*keep, out])
 
     schema = StructType([docs.schema[c] for c in keep]).add(out, DoubleType())
-    return docs.select(*[docs[c] for c in keep], docs[text_col].cast("string")).mapInArrow(batches, schema)
+    return docs.select(*[docs[c] for c in keep], docs[text_col].cast("string").alias(fresh(docs, "__text"))).mapInArrow(batches, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, bounds: TrainingBounds = TrainingBounds()) -> DataFrame:
@@ -246,7 +246,5 @@ def classify(docs: DataFrame, labels: DataFrame, bounds: TrainingBounds = Traini
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
     columns = tuple(docs.columns)
-    name = "__score"
-    while name in columns:
-        name += "_"
+    name = fresh(docs, "__score")
     return score(docs, train(docs, labels), keep=columns, out=name).where(F.col(name) < 0.5).drop(name)
