@@ -28,8 +28,13 @@ def month_of_text(time: str | Column) -> Column:
 
 
 def parse_post_time(text: str | Column) -> Column:
-    """Text post time -> timestamp; unparsable text becomes null (never fails)."""
-    return F.try_to_timestamp(col_(text), F.lit(POST_TIME_FORMAT))
+    """Text post time -> timestamp; unparsable text becomes null (never fails).
+
+    Months, days, hours and minutes may have one digit, and what follows the
+    minutes (seconds, say) is ignored.
+    """
+    minutes = F.regexp_extract(col_(text), r"^\s*(\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2})", 1)
+    return F.try_to_timestamp(minutes, F.lit("yyyy-M-d H:m"))
 
 
 def format_post_time(time: str | Column) -> Column:
@@ -39,7 +44,7 @@ def format_post_time(time: str | Column) -> Column:
 def quarter_label(time: str | Column) -> Column:
     """Tumbling quarter label ``<year>_<start month>``: 1, 4, 7 or 10."""
     t = col_(time)
-    return F.concat_ws("_", F.year(t).cast("string"), ((F.quarter(t) - 1) * 3 + 1).cast("string"))
+    return F.concat(F.year(t).cast("string"), F.lit("_"), ((F.quarter(t) - 1) * 3 + 1).cast("string"))
 
 
 def strip_first_char(text: str | Column) -> Column:

@@ -16,6 +16,8 @@ driver only ever receives a few scalars per convergence test.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -125,6 +127,7 @@ def _power_iterations(
     tol: float,
     max_iter: int,
     batch: int,
+    cap_is_a_stop_rule: bool = False,
 ) -> DataFrame:
     """Iterate ``r' = reset + (1-reset) Σ r_u w_uv`` from r = 1 and return the
     ranks of the first iteration ``j`` with ``max_v change(r_j, r_(j-1)) < tol``.
@@ -143,6 +146,9 @@ def _power_iterations(
     the previous aggregate partitioned by the join key.  So the only exchange
     per iteration is the partially aggregated contributions, and the edges
     never move, are never re-sorted and are never broadcast.
+
+    Reaching ``max_iter`` raises, unless the caller's definition has that
+    number of iterations as a stop rule (``cap_is_a_stop_rule``).
     """
     spark = verts.sparkSession
     checkpoint_root(spark)
@@ -188,6 +194,9 @@ def _power_iterations(
             state = r.select("id", "rank")
     finally:
         edges.unpersist()
+    if not cap_is_a_stop_rule:
+        raise RuntimeError(f"ranks did not converge to {tol} in {max_iter} iterations")
+    warnings.warn(f"ranks stopped at {max_iter} iterations, before every change was below {tol}", stacklevel=3)
     return state
 
 
@@ -239,7 +248,8 @@ def pagerank_weighted(
     The share of rank ``u`` passes to ``v`` is ``(1 + m_uv) / Σ_v' (1 + m_uv')``
     where ``m_uv`` is the mention weight of ``u -> v`` (0 when absent).  Stops
     after ``max_iter`` iterations or as soon as every vertex changed by less
-    than ``rel_tol`` (relative) in the last iteration; scaled to Σ = |V|.
+    than ``rel_tol`` (relative) in the last iteration (a warning says when it
+    was the former); scaled to Σ = |V|.
     """
     checkpoint_root(follows.sparkSession)
     follows = follows.select("src", "dst").checkpoint()
@@ -251,7 +261,8 @@ def pagerank_weighted(
     tot = raw.groupBy("src").agg(F.sum("raw").alias("tot"))
     w = raw.join(tot, "src").select("src", "dst", (F.col("raw") / F.col("tot")).alias("w"))
     change = lambda cur, prev: F.abs(cur - prev) / prev
-    return _normalise(_power_iterations(w, vertices_of(follows), reset, change, rel_tol, max_iter, batch))
+    return _normalise(_power_iterations(w, vertices_of(follows), reset, change, rel_tol, max_iter, batch,
+                                         cap_is_a_stop_rule=True))
 
 
 # --------------------------------------------------------------------------- SCC
@@ -332,7 +343,7 @@ def strongly_connected_components(
     later rounds also colour backward, so a chain is resolved whichever way
     its ids increase, and trim vertices without active in- or out-edges
     (singleton SCCs).  Every round retires at least the SCC of the smallest
-    active id.
+    active id.  Raises if vertices are still active after ``max_rounds``.
     """
     checkpoint_root(edges.sparkSession)
     base = edges.select("src", "dst").checkpoint()
@@ -357,6 +368,9 @@ def strongly_connected_components(
             found = found.union(back).union(trivial).dropDuplicates(["id"]).checkpoint()
         done = found if done is None else done.union(found)
         active = active.join(found, "id", "left_anti").checkpoint()
+    else:
+        if active.limit(1).count():
+            raise RuntimeError(f"vertices are still without a component after {max_rounds} rounds")
     if done is None:  # no vertices at all
         return active.select("id", F.col("id").alias("component"))
     return done

@@ -24,8 +24,8 @@ HEAT = ("like_heat", "repost_heat", "comment_heat")
 
 
 def monthly_measures(posts: DataFrame, key: str = "account", time: str = "time") -> DataFrame:
-    """Σ like / repost / comment per (account, month)."""
-    return posts.groupBy(F.col(key), month_of(time).alias("month")).agg(
+    """Σ like / repost / comment per (account, month); posts without a time are in no month."""
+    return posts.filter(F.col(time).isNotNull()).groupBy(F.col(key), month_of(time).alias("month")).agg(
         *[F.sum(m).cast("bigint").alias(m) for m in MEASURES]
     )
 

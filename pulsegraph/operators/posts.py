@@ -108,14 +108,16 @@ def with_quarter(posts: DataFrame, time: str = "time", out: str = "quarter") ->
 
 def period_membership(
     posts: DataFrame,
-    first_year: int,
-    last_year: int,
+    first_year: int | None = None,
+    last_year: int | None = None,
     time: str = "time",
     strict_quarters: bool = False,
     out: str = "period",
 ) -> DataFrame:
     """Assign each post to the reporting periods that contain it.
 
+    All years of the data, unless ``first_year`` or ``last_year`` bound them.
+
     Default periods start on the 1st of months 1, 4, 7 (and run four months)
     and 10 (running to the next 1 January); both ends are exclusive, so April,
     July and October posts land in two periods and a post at the exact start
@@ -139,9 +141,13 @@ def period_membership(
             "timestamp"
         )
         inside = (s < t) & (t < end)
+    if first_year is not None:
+        inside &= F.year(s) >= first_year
+    if last_year is not None:
+        inside &= F.year(s) <= last_year
     return (
         posts.withColumn("__start", F.explode(cands))
-        .filter(inside & F.year(s).between(first_year, last_year) & start_month.isin(*QUARTER_START_MONTHS))
+        .filter(inside & start_month.isin(*QUARTER_START_MONTHS))
         .withColumn(out, F.concat_ws("_", F.year(s).cast("string"), start_month.cast("string")))
         .drop("__start")
     )

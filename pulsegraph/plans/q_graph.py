@@ -95,9 +95,10 @@ FROM (SELECT id, {_PR_SCALED} AS pagerank FROM pr WHERE it = {ORACLE_PR_ITERS})
 JOIN parts p ON p.id = q.id""", operators=("J-1", "V-7"))(_pagerank_named)
 
 
-@query("pagerank_weighted", operators=("V-9",), sql=with_views("follows", "at_edges", extra=_verts_sql("follows") + f""",
+@query("pagerank_weighted", operators=("V-9",), sql=with_views("follows", "mentions", "users", extra=_verts_sql("follows") + f""",
+counts AS (SELECT src, dst, count(*) AS weight FROM mentions WHERE dst IN (SELECT id FROM users) GROUP BY src, dst),
 raw AS (SELECT f.src, f.dst, count(*) * (1 + coalesce(any_value(m.weight), 0)) AS raw
-        FROM follows f LEFT JOIN at_edges m ON m.src = f.src AND m.dst = f.dst GROUP BY f.src, f.dst),
+        FROM follows f LEFT JOIN counts m ON m.src = f.src AND m.dst = f.dst GROUP BY f.src, f.dst),
 w AS (SELECT src, dst, CAST(raw AS DOUBLE) / sum(raw) OVER (PARTITION BY src) AS w FROM raw
       UNION ALL SELECT id, id, 0.0 FROM verts),
 pr(it, id, rank) AS (
@@ -112,7 +113,9 @@ SELECT id, round(rank * (SELECT count(*) FROM verts)
                  / (SELECT sum(rank) FROM pr WHERE it = (SELECT it FROM stop)), 6) AS pagerank
 FROM pr WHERE it = (SELECT it FROM stop)""")
 def pagerank_weighted(spark, d):
-    return G.pagerank_weighted(_follows(spark, d), _at(spark, d)).select(
+    # every mention counts here; the weight threshold belongs to the mention graph only
+    counts = M.at_edges(T.mentions(spark, d), T.users(spark, d), min_weight_exclusive=0)
+    return G.pagerank_weighted(_follows(spark, d), counts).select(
         "id", F.round("pagerank", 6).alias("pagerank")
     )
 

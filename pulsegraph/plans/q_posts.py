@@ -11,16 +11,12 @@ from pulsegraph.plans.registry import query
 from pulsegraph.plans.sqlviews import with_views
 from pulsegraph.sources import tables as T
 
-# Reporting window of the period operators (the upstream used a 7-year window).
-PERIOD_YEARS = (1995, 2001)
-
-_PY0, _PY1 = PERIOD_YEARS
-PERIODS_SQL = f"""periods AS (
+PERIODS_SQL = """periods AS (
     SELECT CAST(y AS VARCHAR) || '_' || CAST(m AS VARCHAR) AS period,
            make_timestamp(y, m, 1, 0, 0, 0) AS s,
            CASE WHEN m = 10 THEN make_timestamp(y + 1, 1, 1, 0, 0, 0)
                 ELSE make_timestamp(y, m + 4, 1, 0, 0, 0) END AS e
-    FROM range({_PY0}, {_PY1 + 1}) yy(y), (VALUES (1), (4), (7), (10)) mm(m))"""
+    FROM range((SELECT min(year(time)) FROM posts), (SELECT max(year(time)) + 1 FROM posts)) yy(y), (VALUES (1), (4), (7), (10)) mm(m))"""
 
 
 def _posts(spark, d):
@@ -151,7 +147,7 @@ SELECT p.post_id, p.account, strftime(p.time, '%Y-%m-%d %H:%M') AS time, q.perio
 FROM posts p JOIN periods q ON p.time > q.s AND p.time < q.e""")
 def period_membership(spark, d):
     return P.export_time(
-        P.period_membership(_posts(spark, d), *PERIOD_YEARS).select(
+        P.period_membership(_posts(spark, d)).select(
             "post_id", "account", "time", "period"
         )
     )
@@ -164,7 +160,7 @@ SELECT q.period, CAST(p.post_id AS VARCHAR) AS id, coalesce(p.repost, 'null') AS
        CAST(p.comment_num AS VARCHAR) AS comment_num
 FROM posts p JOIN periods q ON p.time > q.s AND p.time < q.e""")
 def period_records(spark, d):
-    return P.period_records(P.period_membership(_posts(spark, d), *PERIOD_YEARS))
+    return P.period_records(P.period_membership(_posts(spark, d)))
 
 
 @query("month_calendar", operators=("W-4", "E-12"), sql=with_views("posts") + """

@@ -123,7 +123,7 @@ FROM posts p JOIN periods q ON p.time > q.s AND p.time < q.e GROUP BY q.period""
 def sink_by_period(spark, d):
     """Period export records written in one pass, one folder per period."""
     path = scratch_path(spark, "records-by-period")
-    records = P.period_records(P.period_membership(T.posts(spark, d), *q_posts.PERIOD_YEARS))
+    records = P.period_records(P.period_membership(T.posts(spark, d)))
     W.write_partitioned(records, path, ["period"], fmt="json")
     back = spark.read.schema(
         "id string, forward string, like_num string, forward_num string, comment_num string, period string"

@@ -1,6 +1,7 @@
 """Driver contract and plan-shape checks."""
 
 import __spark_entry__ as E
+from pulsegraph import plans
 from pulsegraph.sources import tables as T
 from pulsegraph.operators import heat as H
 
@@ -9,7 +10,8 @@ NO_ORACLE: set[str] = set()
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
+    assert set(plans.queries()) - set(plans.oracle_sql()) == NO_ORACLE
+    assert set(plans.queries()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):

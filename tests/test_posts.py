@@ -124,3 +124,15 @@ def test_quarter_label(spark):
 def test_scan_account_pushes_filter(spark, sf):
     plan = P.scan_account(T.posts(spark, sf), 7)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_suppkey), EqualTo(l_suppkey,7)]" in plan
+
+
+def test_lenient_times_and_null_times(spark):
+    from pulsegraph.functions.columns import parse_post_time, quarter_label
+    from pulsegraph.operators.heat import monthly_measures
+    rows = spark.createDataFrame([("2001-04-15 12:00:30",), ("2001-4-5 9:05",), ("junk",), (None,)], "t string")
+    got = [str(r.x) for r in rows.select(parse_post_time("t").alias("x")).collect()]
+    assert got == ["2001-04-15 12:00:00", "2001-04-05 09:05:00", "None", "None"]
+    posts = rows.select(F.lit(1).alias("account"), parse_post_time("t").alias("time"), F.lit(1).alias("like_num"),
+                        F.lit(1).alias("repost_num"), F.lit(1).alias("comment_num"))
+    assert [r.month for r in monthly_measures(posts).collect()] == ["2001-04"]
+    assert posts.select(quarter_label("time").alias("q")).where("q is null").count() == 2
