@@ -61,20 +61,17 @@ def heat_score(like: str | Column, repost: str | Column, comment: str | Column)
 def java_string_hash(text: str | Column) -> Column:
     """32-bit polynomial string hash (base 31, signed), as a JVM string hashes.
 
-    Folded over the characters' code points with an unsigned 32-bit mask, then
-    mapped to the signed range.  Exact for text in the Basic Multilingual Plane.
+    Folded over UTF-16 units with an unsigned 32-bit mask, then mapped to the
+    signed range; a character outside the Basic Multilingual Plane is two units.
     """
     t = col_(text)
-    codes = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))),
-        lambda i: F.when(F.length(t) == 0, F.lit(None)).otherwise(
-            F.ascii(F.substring(t, i, 1))
-        ),
-    )
+    units = F.encode(t, "UTF-16BE")
+    n = F.floor(F.octet_length(units) / 2)
+    unit = lambda i: F.conv(F.hex(F.substring(units, (i * 2 - 1).cast("int"), 2)), 16, 10).cast("bigint")
     unsigned = F.aggregate(
-        codes,
+        F.when(n > 0, F.sequence(F.lit(1).cast("bigint"), n)).otherwise(F.array().cast("array<bigint>")),
         F.lit(0).cast("bigint"),
-        lambda h, c: F.when(c.isNull(), h).otherwise((h * 31 + c) % F.lit(4294967296)),
+        lambda h, i: (h * 31 + unit(i)) % F.lit(4294967296),
     )
     signed = F.when(unsigned >= 2147483648, unsigned - 4294967296).otherwise(unsigned).cast("int")
     return F.when(t.isNull(), F.lit(None).cast("int")).otherwise(signed)

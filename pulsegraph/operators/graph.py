@@ -19,11 +19,11 @@ from __future__ import annotations
 import warnings
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegraph.functions.columns import java_string_hash
-from pulsegraph.operators.joins import bounded_broadcast, lookup
+from pulsegraph.operators.joins import lookup, unique_dictionary
 from pulsegraph.session import checkpoint_root
 
 
@@ -49,6 +49,39 @@ def named(scores: DataFrame, dictionary: DataFrame, strict: bool = True) -> Data
     return lookup(scores, dictionary, "id", strict=strict)
 
 
+def full_ranking(scores: DataFrame, value: str, key: str = "id") -> DataFrame:
+    """``scores`` with ``position`` (1 = largest ``value``; ties: smaller key first).
+
+    Every row is ranked, and no task sees them all: rows are range-partitioned
+    in rank order and checkpointed (the range borders are sampled, so they
+    must not be drawn twice), numbered within their partition, and a partition
+    starts after the row counts of those before it.  Only one row per
+    partition meets in the window over partitions.  The checkpointed
+    partitions are in rank order, so written files are too.
+    """
+    checkpoint_root(scores.sparkSession)
+    order = [F.col(value).desc(), F.col(key).asc()]
+    n = _partitions(scores)
+    ranged = (
+        scores.repartitionByRange(n, *order)
+        .withColumn("__part", F.spark_partition_id())
+        .sortWithinPartitions(*order)
+        .checkpoint()
+    )
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy(F.col("__part").alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+        .select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+    )
+    inside = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    # at most n rows, so the broadcast is bounded by the partition count
+    return (
+        ranged.withColumn("__row", inside)
+        .join(F.broadcast(offsets), F.col("__part") == F.col("part"))
+        .select((F.col("offset") + F.col("__row")).cast("bigint").alias("position"), *scores.columns)
+    )
+
+
 # --------------------------------------------------------------------------- triangles
 
 
@@ -391,7 +424,7 @@ def scc_members(components: DataFrame, dictionary: DataFrame | None = None) -> D
 
 def vertex_dictionary(vertex_ids: DataFrame, dictionary: DataFrame) -> DataFrame:
     """``(hash, id, name)``: 32-bit string hash of the id text; unknown names -> 'null'."""
-    d = bounded_broadcast(dictionary.select(F.col("id").alias("__k"), F.col("name")))
+    d = unique_dictionary(dictionary).select(F.col("id").alias("__k"), F.col("name"))
     return (
         vertex_ids.join(d, vertex_ids["id"] == d["__k"], "left")
         .select(

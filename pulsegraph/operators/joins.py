@@ -1,12 +1,10 @@
-"""Join helpers: broadcast only behind a proven size bound.
+"""Join helpers: dictionary lookups and membership tests.
 
-``bounded_broadcast`` runs ``limit(max_rows + 1).count()`` on the small side –
-a job that stops after ``max_rows + 1`` rows – and broadcasts it only when the
-bound holds.  When the optimizer already estimates the side at many GB the
-count is skipped (it would be a full pass over a big input) and the join is
-left to the planner and AQE's run-time conversion.  Beyond the bound the plain DataFrame is returned and Spark plans
-a shuffle join (sort-merge, with AQE skew splitting), so a dictionary that
-grows with the data never gets shipped to every executor.
+The joins are plain: no rows are counted and no job runs while a query is
+built.  AQE converts a join to a broadcast when the measured bytes of a side
+are under ``spark.sql.autoBroadcastJoinThreshold`` and splits skewed shuffle
+partitions otherwise, so a dictionary that grows with the data is never
+shipped to every executor.
 """
 
 from __future__ import annotations
@@ -14,33 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# About 1M short (id, name) rows stay well under 100 MB once broadcast.
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-
-
-# Above this optimizer size estimate the bounded count is skipped: proving a
-# small result would cost a full pass over a big input (done again by the
-# join); AQE still broadcasts at run time if the measured side is small.
-DEFAULT_MAX_ESTIMATE_BYTES = 8 << 30
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: fall back to counting
-        return 0
-
-
-def bounded_broadcast(
-    df: DataFrame,
-    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    max_estimate_bytes: int = DEFAULT_MAX_ESTIMATE_BYTES,
-) -> DataFrame:
-    if df.isStreaming or _estimated_bytes(df) > max_estimate_bytes:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def lookup(
     df: DataFrame,
@@ -50,18 +21,17 @@ def lookup(
     value: str = "name",
     out: str | None = None,
     strict: bool = False,
-    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Attach ``dictionary[value]`` to ``df`` by ``df[key] == dictionary[dict_key]``.
 
     ``strict=False``: inner join, unmatched rows dropped.
     ``strict=True``: every key must be known; an unknown key fails the job
     (``raise_error``), like a map lookup that throws.
-    The dictionary must be unique on ``dict_key``.
+    The dictionary must be unique on ``dict_key``: repeated rows collapse, a
+    key with two values fails the job.
     """
     out = out or value
-    d = dictionary.select(F.col(dict_key).alias("__k"), F.col(value).alias(out))
-    d = bounded_broadcast(d, max_rows)
+    d = unique_dictionary(dictionary, dict_key, value).select(F.col(dict_key).alias("__k"), F.col(value).alias(out))
     if not strict:
         return df.join(d, df[key] == d["__k"], "inner").drop("__k")
     joined = df.join(d, df[key] == d["__k"], "left")
@@ -74,10 +44,9 @@ def lookup(
 
 def semi_join_known(
     df: DataFrame, dictionary: DataFrame, key: str | Column, dict_key: str = "id",
-    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Keep rows whose key is in the dictionary (membership test, no duplicates added)."""
-    d = bounded_broadcast(dictionary.select(F.col(dict_key).alias("__k")).distinct(), max_rows)
+    d = dictionary.select(F.col(dict_key).alias("__k"))
     k = F.col(key) if isinstance(key, str) else key
     return df.join(d, k == d["__k"], "left_semi")
 

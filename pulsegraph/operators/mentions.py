@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pulsegraph.functions.columns import strip_first_char
 from pulsegraph.operators.heat import MEASURES
-from pulsegraph.operators.joins import bounded_broadcast, semi_join_known
+from pulsegraph.operators.joins import semi_join_known, unique_dictionary
 
 
 def mentions_exploded(posts_at: DataFrame, at: str = "at") -> DataFrame:
@@ -26,10 +26,9 @@ def mentions_exploded(posts_at: DataFrame, at: str = "at") -> DataFrame:
 def mentions_known(exploded: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Whitelist mention names and map them to account ids (``target``).
 
-    The dictionary (id, name) goes through the size-checked broadcast; it
-    must be unique on ``name``.
+    A name must have one id: repeated rows collapse, two ids fail the job.
     """
-    d = bounded_broadcast(dictionary.select(F.col("name").alias("__n"), F.col("id").alias("target")))
+    d = unique_dictionary(dictionary, "name", "id").select(F.col("name").alias("__n"), F.col("id").alias("target"))
     return exploded.join(d, exploded["name"] == d["__n"], "inner").drop("__n")
 
 

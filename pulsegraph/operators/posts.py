@@ -14,7 +14,6 @@ from pulsegraph.functions.columns import (
     parse_post_time,
     quarter_label,
 )
-from pulsegraph.operators.joins import bounded_broadcast
 
 
 def typed_posts(raw: DataFrame) -> DataFrame:
@@ -91,10 +90,10 @@ def calendar_of(posts: DataFrame, time: str = "time") -> DataFrame:
 def posts_by_month(posts: DataFrame, calendar: DataFrame, time: str = "time") -> DataFrame:
     """Posts with their month bucket; months outside the calendar are dropped.
 
-    The calendar has 12 rows per year, so the size-checked broadcast always
-    holds and the join never shuffles the posts.
+    The calendar has 12 rows per year whatever the posts, so it is broadcast
+    and the join never shuffles the posts.
     """
-    return with_month(posts, time).join(bounded_broadcast(calendar), "month", "left_semi")
+    return with_month(posts, time).join(F.broadcast(calendar), "month", "left_semi")
 
 
 def posts_in_month(posts: DataFrame, month: str, time_text: str = "time") -> DataFrame:

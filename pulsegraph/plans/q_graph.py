@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pulsegraph.operators import graph as G
 from pulsegraph.operators import mentions as M
+from pulsegraph.operators.joins import unique_dictionary
 from pulsegraph.plans.registry import query
 from pulsegraph.plans.sqlviews import with_views
 from pulsegraph.sources import tables as T
@@ -35,6 +36,15 @@ def _verts_sql(g: str) -> str:
     return f"verts AS (SELECT src AS id FROM {g} UNION SELECT dst FROM {g})"
 
 
+def _tri_cte(gv: str, dv: str) -> str:
+    return with_views(gv, dv, extra=_verts_sql(gv) + f""",
+und AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM {gv} WHERE src <> dst),
+tri AS (SELECT x.a AS u, x.b AS v, y.b AS w
+        FROM und x JOIN und y ON x.a = y.a AND x.b < y.b JOIN und z ON z.a = x.b AND z.b = y.b),
+cnt AS (SELECT id, count(*) AS t FROM (SELECT u AS id FROM tri UNION ALL SELECT v FROM tri
+                                      UNION ALL SELECT w FROM tri) c GROUP BY id)""")
+
+
 def _pr_cte(gv: str, *more_views: str) -> str:
     return with_views(gv, *more_views, extra=_verts_sql(gv) + f""",
 od AS (SELECT src, count(*) AS od FROM {gv} GROUP BY src),
@@ -59,16 +69,11 @@ for suffix, (edges_fn, dict_fn, gv, dv) in GRAPHS.items():
 SELECT d.id, p.name, d.degree
 FROM (SELECT {col} AS id, count(*) AS degree FROM {gv} GROUP BY {col}) d JOIN {dv} p ON p.id = d.id"""
         deg = G.in_degree if kind == "in" else G.out_degree
-        query(name, sql=sql, operators=("V-4", "V-5", "J-2", "O-1"))(
+        query(name, sql=sql, operators=("V-4", "V-5", "J-2"))(
             lambda spark, d, _e=edges_fn, _n=dict_fn, _g=deg: G.named(_g(_e(spark, d)), _n(spark, d))
         )
 
-    tri_sql = with_views(gv, dv, extra=_verts_sql(gv) + f""",
-und AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM {gv} WHERE src <> dst),
-tri AS (SELECT x.a AS u, x.b AS v, y.b AS w
-        FROM und x JOIN und y ON x.a = y.a AND x.b < y.b JOIN und z ON z.a = x.b AND z.b = y.b),
-cnt AS (SELECT id, count(*) AS t FROM (SELECT u AS id FROM tri UNION ALL SELECT v FROM tri
-                                      UNION ALL SELECT w FROM tri) c GROUP BY id)""") + f"""
+    tri_sql = _tri_cte(gv, dv) + f"""
 SELECT v.id, p.name, CAST(coalesce(c.t, 0) AS BIGINT) AS triangles
 FROM verts v LEFT JOIN cnt c ON c.id = v.id JOIN {dv} p ON p.id = v.id"""
     query(f"triangle_count{suffix}", sql=tri_sql, operators=("V-6",))(
@@ -84,6 +89,44 @@ SELECT id, {_PR_SCALED} AS pagerank FROM pr WHERE it = {ORACLE_PR_ITERS}"""
     )
 
 
+# --------------------------------------------------------------------------- full rankings
+
+
+def _ranking_sql(ctes: str, scores: str, names: str) -> str:
+    return ctes + f"""
+SELECT row_number() OVER (ORDER BY s.value DESC, s.id ASC) AS position, s.id, n.name, s.value
+FROM ({scores}) s LEFT JOIN {names} n ON n.id = s.id"""
+
+
+def _ranking(scores, value, dictionary):
+    """``position, id, name, value`` of every vertex; ids without a name keep their row."""
+    ranked = G.full_ranking(scores.select("id", F.col(value).alias("value")), "value")
+    names = unique_dictionary(dictionary)
+    return ranked.join(names, "id", "left").select("position", "id", "name", "value")
+
+
+def _rounded(ranks):
+    return ranks.select("id", F.round("pagerank", 6).alias("pagerank"))
+
+
+for suffix, (edges_fn, dict_fn, gv, dv) in GRAPHS.items():
+    graph = suffix or "_follows"
+    for kind, col, deg in (("in", "dst", G.in_degree), ("out", "src", G.out_degree)):
+        query(f"ranking_{kind}_degree{graph}", operators=("O-1", "K-5", "V-4" if kind == "in" else "V-5"),
+              sql=_ranking_sql(with_views(gv, dv), f"SELECT {col} AS id, count(*) AS value FROM {gv} GROUP BY {col}", dv))(
+            lambda spark, d, _e=edges_fn, _n=dict_fn, _g=deg: _ranking(_g(_e(spark, d)), "degree", _n(spark, d))
+        )
+    query(f"ranking_triangles{graph}", operators=("O-1", "K-5", "V-6"),
+          sql=_ranking_sql(_tri_cte(gv, dv), "SELECT v.id, CAST(coalesce(c.t, 0) AS BIGINT) AS value "
+                           "FROM verts v LEFT JOIN cnt c ON c.id = v.id", dv))(
+        lambda spark, d, _e=edges_fn, _n=dict_fn: _ranking(G.triangle_count(_e(spark, d)), "triangles", _n(spark, d))
+    )
+    query(f"ranking_pagerank{graph}", operators=("O-1", "K-5", "V-7", "V-8"),
+          sql=_ranking_sql(_pr_cte(gv, dv), f"SELECT id, {_PR_SCALED} AS value FROM pr WHERE it = {ORACLE_PR_ITERS}", dv))(
+        lambda spark, d, _e=edges_fn, _n=dict_fn: _ranking(_rounded(G.pagerank(_e(spark, d))), "pagerank", _n(spark, d))
+    )
+
+
 def _pagerank_named(spark, d):
     pr = G.pagerank(_follows(spark, d)).select("id", F.round("pagerank", 6).alias("pagerank"))
     return G.named(pr, T.parts(spark, d), strict=False)
@@ -95,7 +138,7 @@ FROM (SELECT id, {_PR_SCALED} AS pagerank FROM pr WHERE it = {ORACLE_PR_ITERS})
 JOIN parts p ON p.id = q.id""", operators=("J-1", "V-7"))(_pagerank_named)
 
 
-@query("pagerank_weighted", operators=("V-9",), sql=with_views("follows", "mentions", "users", extra=_verts_sql("follows") + f""",
+_WPR_CTE = with_views("follows", "mentions", "users", "parts", extra=_verts_sql("follows") + f""",
 counts AS (SELECT src, dst, count(*) AS weight FROM mentions WHERE dst IN (SELECT id FROM users) GROUP BY src, dst),
 raw AS (SELECT f.src, f.dst, count(*) * (1 + coalesce(any_value(m.weight), 0)) AS raw
         FROM follows f LEFT JOIN counts m ON m.src = f.src AND m.dst = f.dst GROUP BY f.src, f.dst),
@@ -108,10 +151,14 @@ pr(it, id, rank) AS (
   FROM pr JOIN w ON w.src = pr.id WHERE pr.it < {ORACLE_WPR_ITERS} GROUP BY pr.it, w.dst),
 delta AS (SELECT a.it, max(abs(a.rank - b.rank) / b.rank) AS d
           FROM pr a JOIN pr b ON a.id = b.id AND a.it = b.it + 1 GROUP BY a.it),
-stop AS (SELECT min(it) AS it FROM delta WHERE d < 0.001)""") + """
+stop AS (SELECT min(it) AS it FROM delta WHERE d < 0.001)""")
+_WPR_SCORES = """
 SELECT id, round(rank * (SELECT count(*) FROM verts)
                  / (SELECT sum(rank) FROM pr WHERE it = (SELECT it FROM stop)), 6) AS pagerank
-FROM pr WHERE it = (SELECT it FROM stop)""")
+FROM pr WHERE it = (SELECT it FROM stop)"""
+
+
+@query("pagerank_weighted", operators=("V-9",), sql=_WPR_CTE + _WPR_SCORES)
 def pagerank_weighted(spark, d):
     # every mention counts here; the weight threshold belongs to the mention graph only
     counts = M.at_edges(T.mentions(spark, d), T.users(spark, d), min_weight_exclusive=0)
@@ -120,6 +167,12 @@ def pagerank_weighted(spark, d):
     )
 
 
+@query("ranking_pagerank_weighted", operators=("O-1", "K-5", "V-9"),
+       sql=_ranking_sql(_WPR_CTE, _WPR_SCORES.replace("AS pagerank", "AS value"), "parts"))
+def ranking_pagerank_weighted(spark, d):
+    return _ranking(pagerank_weighted(spark, d), "pagerank", T.parts(spark, d))
+
+
 _SCC_SQL = with_views("at_edges", extra=_verts_sql("at_edges") + """,
 e AS (SELECT DISTINCT src, dst FROM at_edges WHERE src <> dst),
 reach(a, b) AS (SELECT src, dst FROM e UNION SELECT r.a, e.dst FROM reach r JOIN e ON e.src = r.b),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pulsegraph.functions.columns import month_of_text
 from pulsegraph.operators import graph as G
 from pulsegraph.operators import heat as H
 from pulsegraph.operators.joins import lookup
@@ -16,6 +17,9 @@ from pulsegraph.sources import files as FS
 from pulsegraph.sources import tables as T
 from pulsegraph.operators import posts as P
 
+#: the features of these queries are the read of one account and of one month
+ONE_ACCOUNT, ONE_MONTH = 7, "1996-03"
+
 _BOARDS_SQL = """boards AS (
     SELECT measure, month, account, value,
            row_number() OVER (PARTITION BY measure, month ORDER BY value DESC, account ASC) AS position
@@ -80,6 +84,14 @@ def ranking_json(spark, d):
     return W.ranking_document(scores, "degree", 10)
 
 
+@query("ranking_rows", operators=("K-5", "O-1"), sql=REGISTRY["ranking_in_degree_follows"].sql)
+def ranking_rows(spark, d):
+    """The whole in-degree ranking, written as ordered JSON lines and read back."""
+    path = scratch_path(spark, "ranking")
+    W.write_ranking(REGISTRY["ranking_in_degree_follows"].fn(spark, d), path)
+    return spark.read.schema("position bigint, id bigint, name string, value bigint").json(path)
+
+
 @query("edge_list", operators=("S-6", "K-6"), sql=with_views("follows") + "SELECT src, dst FROM follows")
 def edge_list(spark, d):
     path = scratch_path(spark, "edge-list")
@@ -155,3 +167,36 @@ def scan_one_month(spark, d):
     back = spark.read.option("basePath", path).schema(
         "post_id bigint, account bigint, like_num bigint, month string").parquet(path)
     return back.select("month", "post_id", "account", "like_num")
+
+
+@query("read_one_account", operators=("S-2",), sql=with_views("posts") + f"""
+SELECT post_id, account, like_num, repost_num, comment_num FROM posts WHERE account = {ONE_ACCOUNT}""")
+def read_one_account(spark, d):
+    """One account's collection out of all: one bucket folder is read."""
+    path = scratch_path(spark, "posts-by-account")
+    W.write_by_entity(T.posts(spark, d), path, "account")
+    return P.scan_entity(spark.read.parquet(path), "account", ONE_ACCOUNT).select(
+        "post_id", "account", "like_num", "repost_num", "comment_num")
+
+
+@query("read_one_month", operators=("S-3", "E-2"), sql=with_views("posts") + f"""
+SELECT strftime(time, '%Y-%m') AS month, post_id, account, like_num FROM posts
+WHERE strftime(time, '%Y-%m') = '{ONE_MONTH}'""")
+def read_one_month(spark, d):
+    """One month's collection out of all: one month folder is read."""
+    path = scratch_path(spark, "posts-month-folders")
+    W.write_partitioned(P.with_month(T.posts(spark, d)), path, ["month"], mode="overwrite")
+    return P.scan_month(spark.read.option("basePath", path).schema(
+        "post_id bigint, account bigint, like_num bigint, month string").parquet(path), ONE_MONTH).select(
+        "month", "post_id", "account", "like_num")
+
+
+@query("posts_in_month_text", operators=("E-2", "E-3", "F-3"), sql=with_views("posts") + f"""
+SELECT strftime(time, '%Y-%m') AS month, post_id, account FROM posts
+WHERE strftime(time, '%Y-%m-%d %H:%M') LIKE '{ONE_MONTH}%'""")
+def posts_in_month_text(spark, d):
+    """Raw documents whose time text starts with the month."""
+    raw = q_posts.raw_post_documents(spark, d)
+    return P.posts_in_month(raw, ONE_MONTH).select(
+        month_of_text("time").alias("month"), F.col("id").cast("bigint").alias("post_id"),
+        F.col("account").cast("bigint").alias("account"))

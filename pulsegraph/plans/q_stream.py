@@ -1,8 +1,8 @@
 """Registered streaming queries.
 
-Each stages its input table as a folder of parquet files (in the shared
-checkpoint folder), drains it as a file stream one file per micro-batch, and
-returns the last snapshot – which must equal the batch answer.
+Each reads the given parquet table itself as a file stream, drains it
+``FILES_PER_TRIGGER`` files per micro-batch, and returns the last snapshot –
+which must equal the batch answer.
 """
 
 from __future__ import annotations
@@ -14,13 +14,23 @@ from pulsegraph.session import scratch_path
 from pulsegraph.sources import tables as T
 from pulsegraph.streaming import streams as S
 
-N_FILES = 6
+FILES_PER_TRIGGER = 64
 
 
-def _staged(spark, d, name, df, by=None):
-    path = scratch_path(spark, f"stream-in-{name}")
-    S.stage_files(df, path, N_FILES, by)
-    return S.file_stream(spark, path, df.schema)
+def _stream(spark, d, view):
+    """``view`` (of ``sources.tables``) over a stream of its table's files."""
+    def read(spark, d, name):
+        path = f"{d.rstrip('/')}/{name}.parquet"
+        return S.file_stream(spark, path, spark.read.parquet(path).schema, FILES_PER_TRIGGER)
+
+    return view(spark, d, read)
+
+
+def _dictionary(spark, d):
+    """The dictionary, written once, so that no micro-batch derives it anew."""
+    path, users = scratch_path(spark, "stream-users"), T.users(spark, d)
+    users.write.parquet(path)
+    return spark.read.schema(users.schema).parquet(path)
 
 
 def _run(spark, name, stream, mode="complete", transform=None):
@@ -32,8 +42,8 @@ def _run(spark, name, stream, mode="complete", transform=None):
 @query("stream_mention_counts", operators=("T-1", "T-2", "T-6", "K-2", "S-7"),
        sql=REGISTRY["mention_counts"].sql)
 def stream_mention_counts(spark, d):
-    s = _staged(spark, d, "posts_at", T.posts_at(spark, d))
-    out = _run(spark, "mention_counts", S.running_mention_counts(s, T.users(spark, d)))
+    s = _stream(spark, d, T.posts_at)
+    out = _run(spark, "mention_counts", S.running_mention_counts(s, _dictionary(spark, d)))
     return S.latest_snapshot(spark, out)
 
 
@@ -42,26 +52,24 @@ SELECT account, CAST(sum(like_num) AS BIGINT) AS like_num, CAST(sum(repost_num)
        CAST(sum(comment_num) AS BIGINT) AS comment_num
 FROM posts GROUP BY account""")
 def stream_account_measures(spark, d):
-    s = _staged(spark, d, "posts", T.posts(spark, d))
+    s = _stream(spark, d, T.posts)
     out = _run(spark, "account_measures", S.running_account_measures(s))
     return S.latest_snapshot(spark, out)
 
 
 @query("stream_account_totals", operators=("T-4", "J-4"), sql=REGISTRY["account_totals"].sql)
 def stream_account_totals(spark, d):
-    posts = _staged(spark, d, "posts2", T.posts(spark, d))
-    posts_at = _staged(spark, d, "posts_at2", T.posts_at(spark, d))
-    out = _run(spark, "account_totals", S.running_account_totals(posts, posts_at, T.users(spark, d)))
+    posts = _stream(spark, d, T.posts)
+    posts_at = _stream(spark, d, T.posts_at)
+    out = _run(spark, "account_totals", S.running_account_totals(posts, posts_at, _dictionary(spark, d)))
     return S.latest_snapshot(spark, out)
 
 
 @query("stream_monthly_measures", operators=("T-5",), sql=REGISTRY["monthly_measures"].sql)
 def stream_monthly_measures(spark, d):
-    # each file holds whole accounts, so per-batch (account, month) sums never
-    # overlap and the union of all batch outputs is the full roll-up
-    s = _staged(spark, d, "posts3", T.posts(spark, d), by="account")
+    s = _stream(spark, d, T.posts)
     out = _run(spark, "monthly_measures", s, mode="append", transform=S.per_batch_monthly_measures)
-    return S.all_snapshots(spark, out).drop("batch_id")
+    return S.summed_monthly_measures(S.all_snapshots(spark, out))
 
 
 assert q_mentions and q_posts  # registered before this module reads REGISTRY

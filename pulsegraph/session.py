@@ -58,7 +58,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="pulsegraph-ckpt-", dir="/tmp"))
         return sc.getCheckpointDir()
     raise RuntimeError(

@@ -15,8 +15,12 @@ from pyspark.sql import functions as F
 def write_partitioned(
     df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "append", fmt: str = "parquet"
 ) -> None:
-    """One pass writes every target (e.g. one folder per month)."""
-    df.write.mode(mode).partitionBy(*partition_by).format(fmt).save(path)
+    """One pass writes every target (e.g. one folder per month).
+
+    Rows are first rebalanced by the folder keys: AQE splits large folders over
+    several tasks and merges small ones, so a task opens few folders.
+    """
+    df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode(mode).partitionBy(*partition_by).format(fmt).save(path)
 
 
 def entity_bucket(key: str, buckets: int):
@@ -28,7 +32,8 @@ def write_by_entity(df: DataFrame, path: str, key: str, buckets: int = 16, mode:
     """Per-entity "collections" as ``bucket=<b>/`` folders: an entity's rows
     all land in one bucket, and the folder count stays fixed however many
     entities there are (partitioning by a high-cardinality key would not)."""
-    df.withColumn("bucket", entity_bucket(key, buckets)).write.mode(mode).partitionBy("bucket").parquet(path)
+    bucketed = df.withColumn("bucket", entity_bucket(key, buckets)).hint("rebalance", F.col("bucket"))
+    bucketed.write.mode(mode).partitionBy("bucket").parquet(path)
 
 
 def leaderboard_documents(boards: DataFrame, key_name: str = "name") -> DataFrame:
@@ -89,7 +94,7 @@ def write_leaderboard_json(docs: DataFrame, path: str) -> None:
 def ranking_document(scores: DataFrame, value: str, n: int, key: str = "id", name: str = "name") -> DataFrame:
     """``{"rankList": [{"name", "rank"}, ...]}`` of the top ``n`` by ``value``
     (ties: smaller key first).  Top-n first, so the single document stays
-    small; full rankings are written as rows instead."""
+    small; ``write_ranking`` writes a full ranking as rows."""
     top = scores.orderBy(F.col(value).desc(), F.col(key).asc()).limit(n)
     entries = F.sort_array(
         F.collect_list(F.struct((-F.col(value)).alias("o"), F.col(key).alias("k"),
@@ -103,6 +108,13 @@ def ranking_document(scores: DataFrame, value: str, n: int, key: str = "id", nam
     )
 
 
+def write_ranking(ranking: DataFrame, path: str) -> None:
+    """All rows of a ranking as JSON lines ``{"position", "id", "name", "rank"}``,
+    range-partitioned by position: the files in name order hold the ranking in order."""
+    n = int(ranking.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranking.repartitionByRange(n, "position").sortWithinPartitions("position").write.mode("overwrite").json(path)
+
+
 def edge_list_lines(edges: DataFrame, header: str | None = None) -> DataFrame:
     lines = edges.select(F.concat_ws(" ", F.col("src").cast("string"), F.col("dst").cast("string")).alias("value"))
     if header is not None:

@@ -17,16 +17,21 @@ filters into them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: (spark, folder, table) -> rows; a stream reader in place of the batch one gives a streaming view
+Reader = Callable[[SparkSession, str, str], DataFrame]
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
+def posts(spark: SparkSession, sf_dir: str, read: Reader = read_table) -> DataFrame:
+    li = read(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_orderkey").alias("post_id"),
         F.col("l_suppkey").alias("account"),
@@ -48,8 +53,8 @@ def _mention_key() -> F.Column:
     return F.get_json_object("props", "$.k")
 
 
-def posts_at(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+def posts_at(spark: SparkSession, sf_dir: str, read: Reader = read_table) -> DataFrame:
+    ev = read(spark, sf_dir, "events")
     return ev.select(
         F.col("event_id").alias("post_id"),
         F.col("user_id").alias("account"),

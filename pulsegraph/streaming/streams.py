@@ -19,10 +19,9 @@ from pulsegraph.operators import heat as H
 from pulsegraph.operators import mentions as M
 
 
-def stage_files(df: DataFrame, path: str, n_files: int, by: str | None = None) -> None:
-    """Write a table as ``n_files`` parquet files (``by``: keep each key in one
-    file), the input folder of a file stream."""
-    (df.repartition(n_files, by) if by else df.repartition(n_files)).write.mode("overwrite").parquet(path)
+def stage_files(df: DataFrame, path: str, n_files: int) -> None:
+    """Write a table as ``n_files`` parquet files of random rows, a file stream's input folder."""
+    df.repartition(n_files).write.mode("overwrite").parquet(path)
 
 
 def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int = 1) -> DataFrame:
@@ -68,9 +67,12 @@ def run_to_end(
 
 
 def latest_snapshot(spark: SparkSession, out_path: str) -> DataFrame:
-    snaps = spark.read.parquet(out_path)
-    last = snaps.agg(F.max("batch_id").alias("batch_id"))
-    return snaps.join(F.broadcast(last), "batch_id").drop("batch_id")
+    """The snapshot with the highest number; the folder names tell, the others are not read."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(out_path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    last = max(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+    return spark.read.parquet(f"{out_path}/batch_id={last}")
 
 
 def all_snapshots(spark: SparkSession, out_path: str) -> DataFrame:
@@ -103,3 +105,8 @@ def running_account_totals(
 def per_batch_monthly_measures(batch: DataFrame) -> DataFrame:
     """Stateless per-batch monthly sums (used inside foreachBatch)."""
     return H.monthly_measures(batch)
+
+
+def summed_monthly_measures(batches: DataFrame) -> DataFrame:
+    """The roll-up over all batch outputs: an account's month may be in several."""
+    return batches.groupBy("account", "month").agg(*[F.sum(m).cast("bigint").alias(m) for m in H.MEASURES])

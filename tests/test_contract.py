@@ -47,22 +47,39 @@ def test_monthly_aggregate_is_partial_before_exchange(spark, sf):
     assert "partial_sum" in txt
 
 
-def test_lookup_broadcasts_only_under_the_bound(spark, sf):
+def test_dictionary_joins_are_planned_by_size(spark, sf):
     from pulsegraph.operators.joins import lookup
-    posts = T.posts(spark, sf).select("account")
-    small = lookup(posts, T.accounts(spark, sf), "account", max_rows=1000)
-    assert "BroadcastHashJoin" in _plan(small)
-    big = lookup(posts, T.accounts(spark, sf), "account", max_rows=5)
+    joined = lookup(T.posts(spark, sf).select("account"), T.accounts(spark, sf), "account")
+    assert "BroadcastHashJoin" in _plan(joined)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "SortMergeJoin" in _plan(big)
+        joined = lookup(T.posts(spark, sf).select("account"), T.accounts(spark, sf), "account")
+        assert "SortMergeJoin" in _plan(joined)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_huge_estimate_skips_the_count(spark, sf):
-    from pulsegraph.operators.joins import bounded_broadcast
-    acc = T.accounts(spark, sf)
-    assert "broadcast" in bounded_broadcast(acc)._jdf.queryExecution().logical().toString()
-    skipped = bounded_broadcast(acc, max_estimate_bytes=1)
-    assert "broadcast" not in skipped._jdf.queryExecution().logical().toString()
+def test_building_a_query_runs_no_job(spark, sf, monkeypatch):
+    """But for the one that each read of a parquet schema takes."""
+    reader, reads = type(spark.read), []
+    plain = reader.parquet
+    monkeypatch.setattr(reader, "parquet", lambda self, *paths, **o: reads.append(paths) or plain(self, *paths, **o))
+    sc = spark.sparkContext
+    for name in ("degree_in_at", "mention_counts", "top5_total", "posts_by_month", "account_totals",
+                 "mentions_known", "vertex_dictionary", "at_edges", "degree_in_named"):
+        reads.clear()
+        sc.setJobGroup(f"build-{name}", name)
+        E.queries()[name](spark, sf)
+        assert len(sc.statusTracker().getJobIdsForGroup(f"build-{name}")) == len(reads) > 0, name
+    sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_lookup_refuses_a_key_with_two_values(spark):
+    import pytest
+
+    from pulsegraph.operators.joins import lookup
+    left = spark.createDataFrame([(1,), (2,)], "k long")
+    same = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "id long, name string")
+    assert sorted(tuple(r) for r in lookup(left, same, "k").collect()) == [(1, "a"), (2, "b")]
+    with pytest.raises(Exception):
+        lookup(left, spark.createDataFrame([(1, "a"), (1, "z")], "id long, name string"), "k").collect()

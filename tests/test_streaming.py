@@ -44,6 +44,17 @@ def test_mention_stream_update_mode_emits_changed_keys(spark, sf):
     assert _sorted(newest) == _sorted(want)
 
 
+def test_monthly_sums_over_batches_of_random_rows(spark, sf):
+    posts = T.posts(spark, sf)
+    inp, out = scratch_path(spark, "m-in"), scratch_path(spark, "m-out")
+    S.stage_files(posts, inp, 4)
+    S.run_to_end(S.file_stream(spark, inp, posts.schema), out, scratch_path(spark, "m-ck"), output_mode="append",
+                 transform=S.per_batch_monthly_measures)
+    assert S.all_snapshots(spark, out).select("batch_id").distinct().count() == 4
+    want = H.monthly_measures(posts)
+    assert _sorted(S.summed_monthly_measures(S.all_snapshots(spark, out)).select(want.columns)) == _sorted(want)
+
+
 def test_processing_time_trigger_keeps_running(spark, sf):
     posts = T.posts(spark, sf)
     inp = scratch_path(spark, "p-in")
