@@ -25,11 +25,13 @@ def stage_files(df: DataFrame, path: str, n_files: int) -> None:
 
 
 def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int = 1) -> DataFrame:
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(path)
-    )
+    """The files of a folder, or a table that is one file (a stream takes folders,
+    so that is the folder it lies in, without its other files)."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isFile():
+        return reader.option("pathGlobFilter", at.getName()).parquet(at.getParent().toString())
+    return reader.parquet(path)
 
 
 def snapshot_writer(out_path: str, transform=None):
