@@ -2,8 +2,9 @@
 
 A page's markup is cut into tags and text, a tree builder applies the rules of
 implied tags (a ``p`` ends at the next block, ``li``, ``tr``, ``td``, ``option``
-... end at their next sibling, end tags close what is open inside), and the
-renderer walks the tree:
+... end at their next sibling, the head ends at the first tag or text that
+cannot stand in it, end tags close what is open inside), and the renderer walks
+the tree:
 
 * invisible parts - scripts, styles, templates, the head, ``hidden``,
   ``aria-hidden``, ``display:none``, ``visibility:hidden`` - give nothing;
@@ -43,6 +44,8 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
                    "search section summary table tbody td tfoot th thead tr caption ul".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure".split())
 CLOSES_P = BLOCKS - frozenset("body html li dd dt td th tr tbody thead tfoot caption legend summary".split())
+#: start tags that do not end an open head
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 #: an opening tag ends these, unless a scope boundary is in between
 ENDS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option", "optgroup"),
@@ -73,16 +76,26 @@ class Node:
         self.tag, self.attrs, self.children = tag, attrs, []
 
 
+def _visible(child: Node | str) -> bool:
+    return bool(unescape(child).strip(" \t\n\r\f")) if isinstance(child, str) else child.tag not in IN_HEAD
+
+
 def build_tree(html: str) -> Node:
     root = Node("html")
     stack = [root]
     open_p = 0  # p elements on the stack
+    head = False  # there was one
 
     def pop_to(size: int) -> None:
         nonlocal open_p
         open_p -= sum(n.tag == "p" for n in stack[size:])
         del stack[size:]
 
+    def add_text(text: str) -> None:
+        if stack[-1].tag == "head" and unescape(text).strip(" \t\n\r\f"):
+            pop_to(len(stack) - 1)
+        stack[-1].children.append(text)
+
     def find(tags: tuple[str, ...], boundary: frozenset[str]) -> int:
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
@@ -95,15 +108,17 @@ def build_tree(html: str) -> Node:
     while at < n:
         m = _TOKEN.search(html, at)
         if not m:
-            stack[-1].children.append(html[at:])
+            add_text(html[at:])
             break
         if m.start() > at:
-            stack[-1].children.append(html[at:m.start()])
+            add_text(html[at:m.start()])
         at = m.end()
         if not m.group(2):
             continue
         tag, attrs = m.group(2).lower(), m.group(3)
         if m.group(1):
+            if tag in ("br", "body", "html") and stack[-1].tag == "head":
+                pop_to(len(stack) - 1)
             if tag == "br":
                 stack[-1].children.append(Node("br"))
             elif tag == "p" and not open_p:
@@ -118,6 +133,12 @@ def build_tree(html: str) -> Node:
             if tag == "body":
                 pop_to(1)
             continue
+        if tag == "head":  # one head, before all else that is visible
+            if head or len(stack) > 1 or any(_visible(c) for c in root.children):
+                continue
+            head = True
+        elif stack[-1].tag == "head" and tag not in IN_HEAD:
+            pop_to(len(stack) - 1)
         if open_p and tag in CLOSES_P:
             i = find(("p",), SCOPE)
             if i:

@@ -307,6 +307,16 @@ def test_html(html, text):
     assert html_text.render(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<html><head><meta charset=utf-8><title>T</title><h1>Hi</h1><p>text", "Hi\n\ntext"),
+    ("<head><title>T</title> \n words <b>on", "words on"), ("<head><style>p{}</style></br>x", "x"),
+    ("<head><link href=a><noscript>no</noscript><template>no</template><script>no</script><header>yes", "yes"),
+    ("<head></body>after", "after"), ("<p>a<head>b", "ab"), ("<head><title>t</title></head><head><p>b", "b"),
+])
+def test_html_head_without_an_end_tag(html, text):
+    assert html_text.render(html) == text
+
+
 def test_html_null_and_repeated_rows(spark):
     pages = spark.createDataFrame([(1, None, "x"), (2, "<p>a", "x"), (2, "<p>a", "x")], "page_id long, html string, text string")
     assert sorted((r.page_id, r.text) for r in html_text.extract(pages).collect()) == [(1, ""), (2, "a"), (2, "a")]
