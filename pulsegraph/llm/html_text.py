@@ -6,14 +6,23 @@ implied tags (a ``p`` ends at the next block, ``li``, ``tr``, ``td``, ``option``
 cannot stand in it, end tags close what is open inside), and the renderer walks
 the tree:
 
-* invisible parts - scripts, styles, templates, the head, ``hidden``,
-  ``aria-hidden``, ``display:none``, ``visibility:hidden`` - give nothing;
+* invisible parts - scripts, styles, templates, the head, titles, data lists,
+  elements with a ``hidden`` attribute or a style of ``display:none`` or
+  ``visibility:hidden`` (but for what is visible again inside) - give nothing;
+* what stands in for content that a browser shows - in ``noscript``,
+  ``iframe``, ``noembed``, ``noframes``, ``canvas``, ``audio``, ``video`` -
+  gives nothing; inside ``object`` it is kept, as no object is loaded;
+* options stand on lines of their own, chosen or not; MathML gives its tokens
+  with blanks between, without annotations; SVG gives its ``text`` and
+  ``foreignObject`` parts, without definitions, titles and descriptions;
 * blocks stand on lines of their own, paragraphs and headings between blank
   lines; white space is collapsed outside ``pre``;
 * list items get a bullet or a number and the indent of their depth;
 * table cells are aligned in columns, a cell's line ends becoming spaces.
 
-All visible text is kept, navigation and footers too.  The tree is walked with
+All other text is kept, navigation, footers and ``aria-hidden`` parts too.
+Style sheets are not applied, and attributes (``alt``, ``value``,
+``placeholder``, ``label``) give no text.  The tree is walked with
 a stack of its own, so nesting may be of any depth.  Pages are a map over
 Arrow batches; nothing is shuffled.
 
@@ -26,7 +35,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from html import unescape
+from html import escape, unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,13 +46,22 @@ from pulsegraph.llm.common import fresh
 # fixed values of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-INVISIBLE = frozenset("head script style template noscript title iframe noembed noframes datalist object svg math "
-                      "canvas audio video select".split())
+INVISIBLE = frozenset("head script style template noscript title iframe noembed noframes datalist canvas audio "
+                      "video".split())
+#: these give nothing inside svg or math
+UNDRAWN = frozenset("defs symbol clippath mask marker pattern metadata title desc lineargradient radialgradient filter "
+                    "script style annotation annotation-xml".split())
+#: HTML stands in these parts of svg and math again
+HTML_POINTS = frozenset("foreignobject desc title mi mo mn ms mtext".split())
+MATH_TOKENS = frozenset("mi mo mn ms mtext".split())
+#: start tags that end an open svg or math
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li "
+                     "listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre "
-                   "search section summary table tbody td tfoot th thead tr caption ul".split())
+                   "search section summary table tbody td tfoot th thead tr caption ul optgroup option".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure".split())
-CLOSES_P = BLOCKS - frozenset("body html li dd dt td th tr tbody thead tfoot caption legend summary".split())
+CLOSES_P = BLOCKS - frozenset("body html li dd dt td th tr tbody thead tfoot caption legend summary optgroup option".split())
 #: start tags that do not end an open head
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 #: an opening tag ends these, unless a scope boundary is in between
@@ -63,17 +81,51 @@ SCOPE = frozenset("table td th caption html template object".split())
 _TOKEN = re.compile(
     r"<!--(?:.*?)(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?:>|$)", re.S)
-_HIDDEN = re.compile(r"(?i)(?:^|[\s\"'])hidden(?=$|[\s=/])|aria-hidden\s*=\s*[\"']?true|"
-                     r"style\s*=\s*(?:\"[^\"]*|'[^']*|[^\s>]*)(?:display\s*:\s*none|visibility\s*:\s*hidden)")
-_START = re.compile(r"(?i)(?:^|\s)start\s*=\s*[\"']?(-?\d{1,9})")
+_ATTR = re.compile(r"([^\s/>][^\s/=>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_START = re.compile(r"\s*(-?\d{1,9})")
+_HIDING = re.compile(r"(?i)hidden|style")
+_COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "foreign")
 
-    def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    def __init__(self, tag: str, attrs: str = "", foreign: bool = False):
+        self.tag, self.attrs, self.children, self.foreign = tag, attrs, [], foreign  # foreign: svg, math and what is in them
+
+
+def attributes(raw: str) -> dict[str, str]:
+    """Names in small letters to values; of equal names the first counts."""
+    out: dict[str, str] = {}
+    for m in _ATTR.finditer(raw):
+        out.setdefault(m.group(1).lower(), unescape(m.group(2) or m.group(3) or m.group(4) or ""))
+    return out
+
+
+def _style(style: str) -> dict[str, str]:
+    """Properties to values; the last counts, an important one above others."""
+    out: dict[str, tuple[bool, str]] = {}
+    for part in _COMMENT.sub(" ", style).lower().split(";"):
+        name, _, value = part.partition(":")
+        words = value.replace("!", " !").replace("! ", "!").split()
+        important = "!important" in words
+        if name.strip() not in out or important or not out[name.strip()][0]:
+            out[name.strip()] = important, " ".join(w for w in words if w != "!important")
+    return {name: value for name, (_, value) in out.items()}
+
+
+def shown(raw: str, visible: bool) -> bool | None:
+    """Whether an element with these attributes in a ``visible`` parent is; None if nothing in it is displayed."""
+    if not _HIDING.search(raw):
+        return visible
+    given = attributes(raw)
+    style = _style(given["style"]) if "style" in given else {}
+    display = style.get("display", "")
+    if display == "none" or ("hidden" in given and not display):
+        return None
+    visibility = style.get("visibility", "")
+    return visible if visibility not in ("hidden", "collapse", "visible") else visibility == "visible"
 
 
 def _visible(child: Node | str) -> bool:
@@ -114,6 +166,8 @@ def build_tree(html: str) -> Node:
             add_text(html[at:m.start()])
         at = m.end()
         if not m.group(2):
+            if m.group().startswith("<![CDATA[") and stack[-1].foreign:
+                stack[-1].children.append(escape(m.group()[9:].removesuffix("]]>")))
             continue
         tag, attrs = m.group(2).lower(), m.group(3)
         if m.group(1):
@@ -139,6 +193,10 @@ def build_tree(html: str) -> Node:
             head = True
         elif stack[-1].tag == "head" and tag not in IN_HEAD:
             pop_to(len(stack) - 1)
+        if tag in BREAKOUT:
+            while stack[-1].foreign and stack[-1].tag not in HTML_POINTS:
+                pop_to(len(stack) - 1)
+        foreign = tag in ("svg", "math") or (stack[-1].foreign and stack[-1].tag not in HTML_POINTS)
         if open_p and tag in CLOSES_P:
             i = find(("p",), SCOPE)
             if i:
@@ -147,9 +205,9 @@ def build_tree(html: str) -> Node:
             boundary = BOUNDARY.get(tag, TABLE_BOUNDARY)
             while i := find(ENDS[tag], boundary):
                 pop_to(i)
-        node = Node(tag, attrs)
+        node = Node(tag, attrs, foreign)
         stack[-1].children.append(node)
-        if tag in VOID:
+        if tag in VOID or (foreign and attrs.endswith("/")):
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
@@ -225,23 +283,33 @@ def render(html: str) -> str:
     outer: list[tuple[_Lines, list]] = []
     lists: list[int | None] = []
     pre = 0
-    walk: list[tuple[Node | str, bool]] = [(build_tree(html), False)]
+    # part, whether it is left, whether text in it is visible, whether it stands in a drawing outside its text
+    walk: list[tuple[Node | str, bool, bool, bool]] = [(build_tree(html), False, True, False)]
     while walk:
-        node, leave = walk.pop()
+        node, leave, visible, drawing = walk.pop()
         if isinstance(node, str):
-            text = unescape(node) if "&" in node else node
-            lines.text(text, pre > 0)
+            if visible and not drawing:
+                text = unescape(node) if "&" in node else node
+                lines.text(text, pre > 0)
             continue
         tag = node.tag
         if not leave:
-            if tag in INVISIBLE or (node.attrs and _HIDDEN.search(node.attrs)):
+            if tag in INVISIBLE or (node.foreign and tag in UNDRAWN):
                 continue
+            if node.attrs:
+                if (now := shown(node.attrs, visible)) is None:
+                    continue
+                visible = now
             if tag == "br":
-                lines.end_line(True)
+                if visible:
+                    lines.end_line(True)
                 continue
             if tag == "img":
                 continue
-            walk.append((node, True))
+            if node.foreign:
+                drawing = tag == "svg" or (drawing and tag not in ("text", "foreignobject"))
+                lines.space |= tag == "text" or tag in MATH_TOKENS
+            walk.append((node, True, visible, drawing))
             if tag in ("td", "th") and outer:
                 outer.append((lines, []))
                 lines = _Lines()
@@ -251,12 +319,13 @@ def render(html: str) -> str:
                 lines.end_line()
                 lines.blank |= tag in SPACED and not (tag in ("ul", "ol") and lists)
                 if tag in ("ul", "ol", "menu"):
-                    start = _START.search(node.attrs)
+                    start = _START.match(attributes(node.attrs).get("start", "")) if node.attrs else None
                     lists.append(int(start.group(1)) if start else 1 if tag == "ol" else None)
                     lines.indent += "   " if tag == "ol" else "  "
                 elif tag == "li":
                     number = lists[-1] if lists else None
-                    lines.mark = "- " if number is None else f"{number}. "
+                    if visible:
+                        lines.mark = "- " if number is None else f"{number}. "
                     if number is not None:
                         lists[-1] = number + 1
                     if not lists:
@@ -268,7 +337,7 @@ def render(html: str) -> str:
                 elif tag == "table":
                     outer.append((lines, []))
                     lines = _Lines()
-            walk.extend((c, False) for c in reversed(node.children))
+            walk.extend((c, False, visible, drawing) for c in reversed(node.children))
             continue
         if tag in ("td", "th") and outer:
             cell = " ".join(lines.result().split())

@@ -317,6 +317,22 @@ def test_html_head_without_an_end_tag(html, text):
     assert html_text.render(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ('<div title="The hidden cost of x">a</div>', "a"), ('<body class="overflow hidden x"><p>a', "a"),
+    ('<div data-note="not hidden here" data-style="display:none">a</div>', "a"), ("<p data-hidden>a", "a"),
+    ("<p title=hidden>a", "a"), ("<p title='style=display:none'>a", "a"), ("<b aria-hidden=true>a</b>b", "ab"),
+    ("<p HIDDEN>no<p hidden=hidden>no<p class=x hidden>no<p style='DISPLAY : none !important'>no<p>a", "a"),
+    ("<p style=color:red;display:none>no<p style='display:none;display:block'>a", "a"),
+    ("<div style='visibility:hidden'>no<br><ul><li>no</ul><b style='visibility:visible'>a</b></div>", "a"),
+    ("<select><option>a<option selected>b</select>c", "a\nb\nc"), ("<object>a</object>b", "ab"),
+    ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>", "x = 1"),
+    ("<svg>no<title/><defs><text>no</text></defs><path/><text>a</text><text><![CDATA[b&c]]></text></svg> d", "a b&c d"),
+    ("<svg><path><p>a", "a"), ("<ol data-start=7><li>a</ol>", "1. a"),
+])
+def test_html_what_is_hidden(html, text):
+    assert html_text.render(html) == text
+
+
 def test_html_null_and_repeated_rows(spark):
     pages = spark.createDataFrame([(1, None, "x"), (2, "<p>a", "x"), (2, "<p>a", "x")], "page_id long, html string, text string")
     assert sorted((r.page_id, r.text) for r in html_text.extract(pages).collect()) == [(1, ""), (2, "a"), (2, "a")]
