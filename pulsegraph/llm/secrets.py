@@ -3,8 +3,9 @@
 Base spans are found by pattern, leftmost and non-overlapping per kind (see
 ``base_spans``).  Beside them stand weak candidates, which mean nothing alone:
 
-* ``ident``    an account, client, user or access-key identifier in an assignment,
-* ``key``      a bare mixed run of 32 to 64 Base64 letters,
+* ``ident``    an account, client, user or access-key identifier in an assignment;
+               its name may end a longer one (``DB_USER``, ``aws_access_key_id``),
+* ``key``      a bare or assigned mixed run of 32 or more Base64 letters,
 * ``endpoint`` a URL or an assigned host.
 
 Parts of one credential stand near each other.  Every identifier (weak ones
@@ -47,9 +48,10 @@ WEAK_KINDS = ("ident", "key", "endpoint")
 
 _KEYWORDS = ("passw", "secret", "token", "api")
 _IDENT_WORDS = ("access", "client", "account", "user", "login")
-IDENT = re.compile(r"""(?i:\b(?:access_?key(?:_?id)?|client_?id|account(?:_?id)?|user(?:_?name|_?id)?|login))["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{4,})""", re.ASCII)
-KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/_=-])")
-ENDPOINT = re.compile(r"""(?i:https?)://[^\s"'<>]+|(?i:\b(?:host(?:name)?|endpoint|server))["']?\x20*[:=]\x20*["']?([A-Za-z0-9.-]+(?::\d+)?)""", re.ASCII)
+# names may follow "_" or "-", so they start where no letter or digit stands before
+IDENT = re.compile(r"""(?i:(?<![A-Za-z0-9])(?:(?<!secret_)(?<!secret-)access_?key(?:_?id)?|client[_\x20]?id|account(?:_?(?:id|name))?|user(?:_?name|[_\x20]?id)?|login))["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{4,})""", re.ASCII)
+KEY = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{32,}+={0,2}+(?![A-Za-z0-9+/_=-])")
+ENDPOINT = re.compile(r"""(?i:https?)://[^\s"'<>]+|(?i:(?<![A-Za-z0-9])(?:host(?:name)?|endpoint(?:_?suffix)?|server|data\x20source))["']?\x20*[:=]\x20*["']?(?i:tcp:)?([A-Za-z0-9.-]+(?::\d+)?)""", re.ASCII)
 
 Span = tuple[str, int, int]
 
