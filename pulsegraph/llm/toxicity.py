@@ -51,6 +51,7 @@ LEVEL = 6
 PHRASE_BYTES = 24
 #: windows that a task remembers
 CACHE_WINDOWS = 400_000
+_BLANK = re.compile(r"[\t\n\v\f\r]")
 _WORD = re.compile(rb"[^\s.,;:!?\"'()\[\]{}|*#$%&<>=/+]{1,64}")
 
 
@@ -73,10 +74,12 @@ class ToxicityModel:
     def scorer(self) -> Callable[[str], float]:
         window = windows(self.ordinary, self.toxic)
         cache: dict[str, tuple[int, ...] | None] = {}
+        sizes: dict[str, int] = {}  # words of the chunks in the cache
 
-        def hits(chunk: str) -> tuple[int, ...] | None:
-            found = _hits([window(w) for w in words(chunk)], self.limits)
-            return found if any(found) else None
+        def add(chunk: str) -> None:
+            own = words(chunk)
+            found = _hits([window(w) for w in own], self.limits)
+            cache[chunk], sizes[chunk] = found if any(found) else None, len(own)
 
         def score(text: str) -> float:
             n, of_all = np.zeros(len(self.limits)), 0
@@ -84,11 +87,13 @@ class ToxicityModel:
                 new = set(chunks).difference(cache)
                 if len(cache) + len(new) > CACHE_WINDOWS:
                     cache.clear()
+                    sizes.clear()
                     new = set(chunks)
-                cache.update((c, hits(c)) for c in new)
+                for chunk in new:
+                    add(chunk)
                 for found in filter(None, map(cache.__getitem__, chunks)):
                     n += found
-                of_all += len(chunks)
+                of_all += sum(map(sizes.__getitem__, chunks))
             return float(1 / (1 + np.exp(-np.dot(self.curve, _features(n, of_all)))))
 
         return score
@@ -100,7 +105,7 @@ def pieces(text: str, chars: int = 1 << 20) -> Iterator[list[str]]:
     while i < len(text):
         j = text.find(" ", i + chars) if len(text) - i > chars else -1
         piece, i = (text[i:], len(text)) if j < 0 else (text[i:j], j)
-        yield piece.lower().replace("\n", " ").split(" ")
+        yield _BLANK.sub(" ", piece.lower()).split(" ")
 
 
 def words(chunk: str) -> list[bytes]:

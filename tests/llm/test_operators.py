@@ -298,6 +298,24 @@ def test_toxicity_edges(spark):
     assert toxicity.clean_documents(docs, one_label).columns == docs.columns
 
 
+def test_toxicity_counts_words_however_they_are_separated():
+    ordinary = b" calm quiet day words number of the people that were there before and went home again late "
+    model = toxicity.ToxicityModel(ordinary, b" vileness1 awfulness2 " + ordinary, ((1, 99),), (-2.0, 0.5, 0.5))
+    score = model.scorer()
+    texts = [" ".join(["quiet day calm words"] * 500 + ["vileness1 awfulness2"]),
+             "vileness1 quiet day", "awfulness2 " * 3 + "words"]
+    window = toxicity.windows(model.ordinary, model.toxic)
+    for text in texts:
+        ws = toxicity.words(text)  # as the calibration counts
+        hits = toxicity._hits([window(w) for w in ws], model.limits)
+        assert 0 < hits[0] <= len(ws)
+        x = toxicity._features(hits, len(ws))
+        expected = 1 / (1 + np.exp(-np.dot(model.curve, x)))
+        for form in (text, text.replace(" ", "\t"), text.replace(" ", ", "), text.replace(" ", "/"),
+                     text.replace(" ", " " * 40), text.replace(" ", "\r\n")):
+            assert score(form) == pytest.approx(expected)
+
+
 def test_licenses(spark):
     mit = licenses.TEMPLATES["MIT"]
     rows = [(1, "Some prose.\nReleased under the MIT License.\nMore prose", "en", "a"), (2, None, "en", "a"),
