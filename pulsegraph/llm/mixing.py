@@ -10,11 +10,13 @@
    few slots.
 3. A source's documents are shuffled by hash and laid end to end, pass after
    pass; the stream is cut into blocks of ``block`` words, and the source's
-   k-th slot takes its k-th block.  What a document gives is the overlap of
-   its passes with the blocks that have a slot.
+   k-th slot takes its k-th block, up to the target.
+4. What the slots leave of a target (less than a few blocks) follows at the
+   end of the mix.  So each source gives its target, rounded to a whole word,
+   and what a document gives is the overlap of its passes with that stretch.
 
-The number of slots is at most ``slots`` at any input size, so a source comes
-within a few times total / ``slots`` words of its target.  All sums are of
+The number of slots is at most ``slots`` at any input size; the size of a block
+tells how evenly sources are spread, not how many words they give.  All sums are of
 integers and all orders are by hash and id: reruns agree.
 
 Running sums over a source go through buckets (a source may hold a third of
@@ -93,13 +95,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     given = plan.groupBy("src").agg(F.count(F.lit(1)).alias("given"))
     sources = (targets.join(given, "src", "left")
-               .select("source", "src", "source_size", "target",
-                       F.least(F.coalesce("given", F.lit(0)) * block,
-                               F.col("source_size") * max_passes).alias("limit")))
+               .select("source", "src", "source_size", "target", F.coalesce("given", F.lit(0)).alias("given"),
+                       F.least(F.round("target").cast("long"), F.col("source_size") * max_passes).alias("limit")))
+    # the blocks after those with a slot, the last one partial
+    rest = (sources.where(F.col("limit") > F.col("given") * block)
+            .select("src", F.explode(F.sequence("given", F.floor((F.col("limit") - 1) / block))).alias("k")))
     n_buckets = buckets_for(sized.count())
     order = F.xxhash64(F.lit(seed), F.col("doc_id"))
     known = (sized.join(sources.withColumnRenamed("source", "__source"),
-                        F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+                        F.col("source").eqNullSafe(F.col("__source"))).drop("__source", "given")
              .withColumn("__order", order).withColumn("__bucket", F.pmod("__order", F.lit(n_buckets))))
     laid = materialise(
         running_total(materialise(known, "known"), ["src"], "__bucket", ["__order", "doc_id", "size"],
@@ -117,7 +121,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     pieces = passes.select("src", "start", "lo", "hi", F.explode(F.sequence(
         F.floor(F.col("lo") / block), F.floor((F.col("hi") - 1) / block))).alias("k"))
     words = F.least("hi", (F.col("k") + 1) * block) - F.greatest("lo", F.col("k") * block)
-    taken = (pieces.join(plan.select("src", "k"), ["src", "k"])
+    taken = (pieces.join(plan.select("src", "k").unionByName(rest), ["src", "k"])
              .groupBy("src", "start").agg(F.sum(words).alias("taken")))
     # rows of size 0 share their start with the next document, so they stay out of the join
     some = laid.where("size > 0").join(taken, ["src", "start"], "left")

@@ -128,6 +128,19 @@ def test_mixing(spark, sf):
     assert mixing.mixed_documents(table(spark)).columns == table(spark).columns
 
 
+@pytest.mark.parametrize("slots", [7, 100])
+def test_mixing_gives_small_sources_their_target(spark, slots):
+    rows = [(i, "w " * (i % 90 + 1), "en", "big" if i % 3 else "large") for i in range(400)]
+    rows += [(1000 + i, "w " * (i % 5 + 1), "en", f"small{i % 9}") for i in range(30)]
+    rows = mixing.mix(table(spark, rows), slots=slots).collect()
+    taken, target = {}, {}
+    for r in rows:
+        taken[r.source], target[r.source] = taken.get(r.source, 0) + r.taken, r.target
+        assert 0 <= r.taken <= 3 * r.size
+    assert len(taken) == 11
+    assert all(abs(taken[s] - target[s]) <= 0.5 + 1e-6 for s in taken)
+
+
 def test_simhash(spark):
     rows = sorted(texts().items())
     got = by_id(simhash.edited_fingerprints(table(spark)))
