@@ -73,3 +73,19 @@ def running_total(df: DataFrame, keys: list[str], bucket: str, order: list[str],
     return (df.join(offsets, [*keys, bucket])
             .withColumn(out, F.col("__offset") + F.coalesce(F.sum(value).over(within), F.lit(0)))
             .drop("__offset"))
+
+
+#: CTE ``crc_table`` of DuckDB SQL: one row with the 256 steps of crc32, from its polynomial
+CRC32_SQL = """crc_table AS (SELECT list(crc ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, x:
+        CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS crc
+    FROM (SELECT unnest(range(256)) AS i)))"""
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL of the unsigned crc32 of ``text`` in UTF-8, in a query that also reads ``crc_table``."""
+    pairs = f"regexp_extract_all(hex(encode({text})), '..')"
+    value = "(instr('0123456789ABCDEF', x[1]) - 1) * 16 + instr('0123456789ABCDEF', x[2]) - 1"
+    return (f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), "
+            f"list_transform({pairs}, lambda x: CAST({value} AS BIGINT))), "
+            f"lambda c, b: xor(steps[xor(c % 256, b) + 1], c // 256)))")

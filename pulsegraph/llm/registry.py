@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegraph.llm import bpe, dedup, html_text, licenses, mixing, ngram_join, secrets, sharding, simhash, toxicity
+from pulsegraph.llm import (bpe, conversations, dedup, html_text, licenses, mixing, ngram_join, quality, secrets, sharding,
+                            simhash, spelling, toxicity)
 from pulsegraph.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -74,6 +75,21 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", F.length("text").cast("long").alias("n_chars"), "text", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_forms(spelling.damaged_runs(documents(spark, sf_dir)))
+
+
+def op12_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations and their cheapest repair, as counts, edits and a digest."""
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    return conversations.repair_digest(conversations.damaged(rows), rows.select("conv_id"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return quality.quality_verdicts(documents(spark, sf_dir), labels)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -85,6 +101,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_licenses": op9_licenses,
     "op10_html_text": op10_html_text,
+    "op11_spelling": op11_spelling,
+    "op12_conversation": op12_conversation,
+    "op13_quality": op13_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op11_spelling": spelling.VARIANT_SQL,
+                              "op12_conversation": conversations.repair_sql(), "op13_quality": quality.verdict_sql()}
