@@ -16,15 +16,20 @@ driver only ever receives a few scalars per convergence test.
 
 from __future__ import annotations
 
+import logging
+import math
 import warnings
 
+import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegraph.functions.columns import java_string_hash
 from pulsegraph.operators.joins import lookup, unique_dictionary
-from pulsegraph.session import checkpoint_root
+from pulsegraph.session import checkpoint_root, scratch_path
+
+log = logging.getLogger(__name__)
 
 
 def vertices_of(edges: DataFrame) -> DataFrame:
@@ -85,15 +90,81 @@ def full_ranking(scores: DataFrame, value: str, key: str = "id") -> DataFrame:
 # --------------------------------------------------------------------------- triangles
 
 
-def triangle_count(edges: DataFrame) -> DataFrame:
+#: edges that one block of colours should hold
+BLOCK_EDGES = 4_000_000
+
+
+def _colours(edges: int, partitions: int, block_edges: int) -> int:
+    """Colours per corner: enough that a block (three edge sets of E / colours²) holds at most ``block_edges``,
+    and that there are three blocks (colours³) a partition."""
+    return max(math.ceil(math.sqrt(3 * edges / block_edges)), math.ceil((3 * partitions) ** (1 / 3)), 1)
+
+
+def triangle_blocks(oriented: DataFrame, colours: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The edge sets ``(block, u, v)``, ``(block, u, w)`` and ``(block, v, w)`` of all blocks.
+
+    Every vertex has one of ``colours`` colours and a block is a triple of
+    colours, of the corners u < v < w.  So an edge goes to ``colours`` blocks
+    in each of its three possible places, and all edges of a triangle meet in
+    exactly one block.  An edge goes to no place that it cannot fill: u must
+    have another edge onward, v must be entered.
+    """
+    def colour(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(colours)).cast("int")
+
+    def placed(df: DataFrame, x: str, y: str, at: tuple[int, int], free: int) -> DataFrame:
+        weight = [colours**2, colours, 1]
+        return df.select(
+            F.explode(F.sequence(F.lit(0), F.lit(colours - 1))).alias("third"), F.col("u").alias(x), F.col("v").alias(y)
+        ).select((colour(x) * weight[at[0]] + colour(y) * weight[at[1]] + F.col("third") * weight[free]).alias("block"), x, y)
+
+    forks = oriented.groupBy("u").agg(F.count(F.lit(1)).alias("outs")).where("outs > 1").select("u")
+    entered = oriented.select(F.col("v").alias("u")).distinct()
+    lower, upper = oriented.join(forks, "u", "left_semi"), oriented.join(entered, "u", "left_semi")
+    return placed(lower, "u", "v", (0, 1), 2), placed(lower, "u", "w", (0, 2), 1), placed(upper, "v", "w", (1, 2), 0)
+
+
+def _triangle_credits(oriented: DataFrame, block_edges: int) -> DataFrame:
+    """``id, triangles`` of the vertices on triangles of ``oriented`` edges (u, v).
+
+    Each of the three edge sets is exchanged once, by block: 3 colours E narrow
+    rows, that is E sqrt(E / block_edges) beyond what parallelism asks for.
+    Inside a task the pairs of edges from u stream through two hash joins and
+    are never exchanged, sorted or stored.  Both joins' keys begin with the
+    block that the rows are already dealt by, which Spark accepts as
+    co-partitioned only if told so; the setting is put back.
+    """
+    spark = oriented.sparkSession
+    n, size = _partitions(oriented), oriented.count()
+    colours = _colours(size, n, block_edges)
+    # a task builds hash tables of its rows, so it gets about a block's, whatever the session's partition count
+    n = max(n, math.ceil(3 * colours * size / block_edges))
+    uv, uw, vw = (x.repartition(n, "block") for x in triangle_blocks(oriented, colours))
+    found = (
+        uv.join(uw.hint("shuffle_hash"), ["block", "u"])
+        .join(vw.hint("shuffle_hash"), ["block", "v", "w"])
+        .select(F.explode(F.array("u", "v", "w")).alias("id"))
+        .groupBy("id").agg(F.count(F.lit(1)).alias("triangles"))
+    )
+    log.info("triangles: %d colours, %d partitions", colours, n)
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        return found.checkpoint()
+    finally:
+        spark.conf.set(setting, before)
+
+
+def triangle_count(edges: DataFrame, block_edges: int = BLOCK_EDGES) -> DataFrame:
     """Triangles through each vertex of the undirected simple graph.
 
     Edges are canonicalised (direction, duplicates and self-loops dropped) and
     oriented from the lower to the higher (degree, id) endpoint.  Then every
     vertex has at most sqrt(2E) out-neighbours, whatever the skew: a hub keeps
-    its edges as *in*-edges.  Each triangle u<v<w is found once, at oriented
-    edge (u, v), as w in N+(u) ∩ N+(v) – no wedge or pair enumeration – and
-    credits its three corners.  Vertices on no triangle get 0.
+    its edges as *in*-edges.  Each triangle u<v<w is found once, in the block
+    of its corners' colours, and credits its three corners.  Vertices on no
+    triangle get 0.
     """
     checkpoint_root(edges.sparkSession)
     base = edges.select("src", "dst").checkpoint()  # input read once, used twice
@@ -117,27 +188,7 @@ def triangle_count(edges: DataFrame) -> DataFrame:
         )
         .checkpoint()
     )
-    adj = oriented.groupBy("u").agg(F.collect_list("v").alias("nbrs"))
-    nu = adj.select(F.col("u"), F.col("nbrs").alias("nu"))
-    nv = adj.select(F.col("u").alias("v"), F.col("nbrs").alias("nv"))
-    common = (
-        oriented.join(nu, "u")
-        .join(nv, "v")
-        .select("u", "v", F.array_intersect("nu", "nv").alias("w"))
-        .filter(F.size("w") > 0)
-    )
-    # one pass credits all three corners: u and v once per triangle on (u, v),
-    # every w in the intersection once
-    n = F.size("w").cast("bigint")
-    corners = F.concat(
-        F.array(F.struct(F.col("u").alias("id"), n.alias("t")), F.struct(F.col("v").alias("id"), n.alias("t"))),
-        F.transform("w", lambda x: F.struct(x.alias("id"), F.lit(1).cast("bigint").alias("t"))),
-    )
-    credits = (
-        common.select(F.inline(corners))
-        .groupBy("id")
-        .agg(F.sum("t").alias("triangles"))
-    )
+    credits = _triangle_credits(oriented, block_edges)
     return (
         vertices_of(base)
         .join(credits, "id", "left")
@@ -152,7 +203,61 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _power_iterations(
+#: an edge piece is at most this fraction of the mean partition; so there are at most as many
+#: heavy sources a partition, and hashing pieces over partitions evens out
+PIECES = 16
+#: smaller graphs are not cut
+LEAST_PIECE = 1_000
+
+
+def cut_sources(weighted_edges: DataFrame, n: int) -> DataFrame | None:
+    """``src, salts`` of the sources whose edges must be cut so that ``n`` partitions hold alike; None if there are none.
+
+    A source with more out-edges than a piece (the mean partition / ``PIECES``)
+    is cut into ceil(out-edges / piece) salts.  Since such a source has at
+    least a piece of edges, there are at most ``PIECES * n`` of them, however
+    many vertices the graph has.
+    """
+    counts = weighted_edges.groupBy("src").agg(F.count(F.lit(1)).alias("rows"))
+    total, most = counts.agg(F.sum("rows"), F.max("rows")).first()
+    piece = max(LEAST_PIECE, -(-(total or 0) // (PIECES * n)))
+    if (most or 0) <= piece:
+        return None
+    return counts.where(F.col("rows") > piece).select("src", F.ceil(F.col("rows") / piece).cast("int").alias("salts"))
+
+
+def salted(edges: DataFrame, heavy: DataFrame) -> DataFrame:
+    """``edges`` with a ``salt``: the piece of its source that an edge lies in, by a hash of its target."""
+    # at most PIECES * n rows by construction
+    return (edges.join(F.broadcast(heavy), "src", "left")
+            .withColumn("salt", F.when(F.col("salts").isNotNull() & ~F.col("own"),
+                                       F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int")).otherwise(0))
+            .drop("salts"))
+
+
+def extrapolation_weights(gram: np.ndarray) -> np.ndarray | None:
+    """Weights, summing to 1, that make the combination of the steps' changes smallest (reduced-rank extrapolation).
+
+    ``gram[i, j]`` is the inner product of the changes of steps i and j.  None
+    where no combination is better than the last step alone.
+    """
+    k = len(gram)
+    scale = np.sqrt(np.diag(gram))
+    if not np.all(np.isfinite(gram)) or scale.min() <= 0:
+        return None
+    # columns of equal length; nearly dependent ones get no large opposite weights
+    values, vectors = np.linalg.eigh(gram / np.outer(scale, scale))
+    values = np.maximum(values, values[-1] * 1e-13)
+    z = (vectors @ ((vectors.T @ (1 / scale)) / values)) / scale
+    if not np.isfinite(z).all() or z.sum() == 0:
+        return None
+    weights = z / z.sum()
+    if weights @ gram @ weights >= gram[k - 1, k - 1] or np.abs(weights).sum() > 1e4:
+        return None
+    return weights
+
+
+def _iterate(
     weighted_edges: DataFrame,
     verts: DataFrame,
     reset: float,
@@ -160,6 +265,7 @@ def _power_iterations(
     tol: float,
     max_iter: int,
     batch: int,
+    extrapolate: bool,
     cap_is_a_stop_rule: bool = False,
 ) -> DataFrame:
     """Iterate ``r' = reset + (1-reset) Σ r_u w_uv`` from r = 1 and return the
@@ -173,6 +279,12 @@ def _power_iterations(
     run as one job, are checkpointed once, and one aggregate returns the max
     change of each of them – the stop iteration is exact, never overshot.
 
+    ``extrapolate``: the batch's ranks lie side by side in one row a vertex, so
+    the same aggregate also returns the inner products of their changes, and
+    the next batch starts from the combination whose change is smallest
+    (reduced-rank extrapolation, the restarted Krylov method of a linear fixed
+    point).  It is a projection: no job, exchange or column more.
+
     The edges are hash-partitioned and sorted by ``src`` once and persisted
     (their lineage is one scan + aggregate, cheap to rebuild after an executor
     loss); each iteration merge-joins them with the ranks, which come out of
@@ -180,6 +292,11 @@ def _power_iterations(
     per iteration is the partially aggregated contributions, and the edges
     never move, are never re-sorted and are never broadcast.
 
+    A source with a great share of all edges would make one partition of them,
+    so it is cut (``cut_sources``): its edges lie by (src, salt) and its rank
+    is copied to its salts.  Only then the ranks, one narrow row a vertex, are
+    exchanged as well.
+
     Reaching ``max_iter`` raises, unless the caller's definition has that
     number of iterations as a stop rule (``cap_is_a_stop_rule``).
     """
@@ -192,10 +309,21 @@ def _power_iterations(
             verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("w"),
                          F.lit(True).alias("own"))
         )
-        .repartition(n, "src")
-        .sortWithinPartitions("src")
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    heavy, key = cut_sources(weighted_edges, n), ["src"]
+    if heavy is not None:
+        heavy = heavy.checkpoint()
+        edges, key = salted(edges, heavy), ["src", "salt"]
+    edges = edges.repartition(n, *key).sortWithinPartitions(*key).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def at_sources(ranks: DataFrame, hist: list[str]) -> DataFrame:
+        out = ranks.select(F.col("id").alias("src"), "rank", *hist)
+        if heavy is None:
+            return out
+        copies = F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1)
+        return out.join(F.broadcast(heavy), "src", "left").select("src", "rank", *hist, F.explode(copies).alias("salt"))
+
+    own = lambda c: F.max(F.when(F.col("own"), F.col(c)))
     state = verts.select("id", F.lit(1.0).alias("rank")).checkpoint()
     done = 0
     if state.limit(1).count() == 0:  # no vertices: nothing to iterate
@@ -207,9 +335,8 @@ def _power_iterations(
             r = state
             for j in range(1, steps + 1):
                 hist = [f"h{i}" for i in range(j - 1)]  # ranks of batch iterations 0 .. j-2
-                own = lambda c: F.max(F.when(F.col("own"), F.col(c)))
                 r = (
-                    edges.join(r.select(F.col("id").alias("src"), "rank", *hist).hint("merge"), "src")
+                    edges.join(at_sources(r, hist).hint("merge"), key)
                     .groupBy(F.col("dst").alias("id"))
                     .agg(
                         (F.lit(reset) + F.lit(1.0 - reset) * F.sum(F.col("rank") * F.col("w"))).alias("rank"),
@@ -219,12 +346,27 @@ def _power_iterations(
                 )
             r = r.checkpoint()
             ranks = [F.col(f"h{i}") for i in range(steps)] + [F.col("rank")]
-            worst = r.agg(*[F.max(change(ranks[j], ranks[j - 1])).alias(f"d{j}") for j in range(1, steps + 1)]).first()
+            moves = [ranks[j] - ranks[j - 1] for j in range(1, steps + 1)]
+            pairs = [(a, b) for a in range(steps) for b in range(a + 1)] if extrapolate else []
+            told = r.agg(*[F.max(change(ranks[j], ranks[j - 1])).alias(f"d{j}") for j in range(1, steps + 1)],
+                         *[F.sum(moves[a] * moves[b]).alias(f"g{a}_{b}") for a, b in pairs]).first()
             for j in range(1, steps + 1):
-                if worst[j - 1] is not None and worst[j - 1] < tol:
+                if told[j - 1] is not None and told[j - 1] < tol:
+                    log.info("ranks converged in %d iterations", done + j)
                     return r.select("id", ranks[j].alias("rank"))
             done += steps
-            state = r.select("id", "rank")
+            weights = None
+            if extrapolate and steps > 1:
+                gram = np.empty((steps, steps))
+                for at, (a, b) in enumerate(pairs):
+                    gram[a, b] = gram[b, a] = told[steps + at]
+                weights = extrapolation_weights(gram)
+            if weights is None:
+                state = r.select("id", "rank")
+            else:
+                best = sum((F.lit(float(x)) * ranks[j + 1] for j, x in enumerate(weights)), F.lit(0.0))
+                # apart from the next batch, whose generated code stays the same for any weights
+                state = r.select("id", best.alias("rank")).checkpoint()
     finally:
         edges.unpersist()
     if not cap_is_a_stop_rule:
@@ -248,12 +390,14 @@ def pagerank(
     batch: int = 5,
 ) -> DataFrame:
     """PageRank until the first iteration in which no vertex moves by ``tol``
-    or more (the stop rule of the public Spark graph API's tolerance mode).
+    of its rank or more (of 1, for ranks below 1: a plain difference would sink
+    below the spacing of doubles where ranks are large).
 
     Duplicate edges count in the sum and in the out-degree, self-loops count,
     sinks leak; the result is scaled to Σ = |V|.  ``batch`` iterations run
     per job (5 measured fastest: longer chains cost more driver-side
-    re-planning, shorter ones more checkpoint jobs).
+    re-planning, shorter ones more checkpoint jobs), and each batch starts from
+    the best combination of the one before.
     """
     checkpoint_root(edges.sparkSession)
     edges = edges.select("src", "dst").checkpoint()  # input read once, used three times
@@ -264,8 +408,8 @@ def pagerank(
         .join(outdeg, "src")
         .select("src", "dst", (F.col("mult") / F.col("od")).alias("w"))
     )
-    change = lambda cur, prev: F.abs(cur - prev)
-    return _normalise(_power_iterations(w, verts, reset, change, tol, max_iter, batch))
+    change = lambda cur, prev: F.abs(cur - prev) / F.greatest(F.lit(1.0), F.abs(cur))
+    return _normalise(_iterate(w, verts, reset, change, tol, max_iter, batch, extrapolate=True))
 
 
 def pagerank_weighted(
@@ -294,119 +438,187 @@ def pagerank_weighted(
     tot = raw.groupBy("src").agg(F.sum("raw").alias("tot"))
     w = raw.join(tot, "src").select("src", "dst", (F.col("raw") / F.col("tot")).alias("w"))
     change = lambda cur, prev: F.abs(cur - prev) / prev
-    return _normalise(_power_iterations(w, vertices_of(follows), reset, change, rel_tol, max_iter, batch,
-                                         cap_is_a_stop_rule=True))
+    return _normalise(_iterate(w, vertices_of(follows), reset, change, rel_tol, max_iter, batch,
+                               extrapolate=False, cap_is_a_stop_rule=True))
 
 
 # --------------------------------------------------------------------------- SCC
 
 
-def _min_fixpoint(labels: DataFrame, flow: DataFrame, col: str, batch: int, max_iter: int) -> DataFrame:
-    """Fixed point of ``col(b) = min(col(b), col(a))`` over ``flow(a, b)``.
+def _trim(edges: DataFrame) -> DataFrame:
+    """``edges`` that can lie on a cycle as far as one look tells: their source is entered, their target left."""
+    entered, left = edges.select(F.col("dst").alias("src")).distinct(), edges.select(F.col("src").alias("dst")).distinct()
+    return edges.join(entered, "src", "left_semi").join(left, "dst", "left_semi").select("src", "dst").checkpoint()
 
-    Every vertex gets an ``own`` edge, so one join + one (fixed-width, partially
-    aggregated) ``min`` per iteration both propagates and remembers the old
-    value; ``batch`` iterations run as one job and are checkpointed once.
-    Min-propagation is monotone: once an iteration changes nothing, later ones
-    change nothing, so only the last iteration of a batch is tested.
+
+def _bypass(edges: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Cut out the vertices with one in-edge and one out-edge: ``edges`` without them, and ``id, head, tail`` of each.
+
+    A run of such vertices between ``head`` and ``tail`` becomes one edge.  Its
+    vertices lie in their head's component if head and tail lie in the same
+    one, and are alone otherwise.  Runs end in logarithmically many steps
+    (each doubles the distance looked ahead), and a run that closes on itself
+    is a cycle: there head and tail are its smallest id.  None if there are no
+    such vertices.
     """
-    n = _partitions(flow)
-    own = labels.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(True).alias("own"))
-    edges = (
-        flow.select("a", "b", F.lit(False).alias("own"))
-        .unionByName(own)
-        .repartition(n, "a")
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    outs = edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("outs"), F.min("dst").alias("next"))
+    ins = edges.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("ins"), F.min("src").alias("prev"))
+    inner = outs.where("outs = 1").join(ins.where("ins = 1"), "id").select("id", "prev", "next").checkpoint()
+    size = inner.count()
+    if not size:
+        return None
+    # last: the farthest vertex of the run seen so far; open: the run may go on behind it
+    ids = inner.select(F.col("id").alias("next"), F.lit(True).alias("goes_on"))
+    runs = inner.join(ids, "next", "left").select(
+        "id", F.when(F.col("goes_on"), F.col("next")).otherwise(F.col("id")).alias("last"),
+        F.col("goes_on").isNotNull().alias("open"),
+        F.least("id", F.when(F.col("goes_on"), F.col("next"))).alias("low")).checkpoint()
+    for _ in range(max(1, size - 1).bit_length()):
+        if runs.where("open").limit(1).count() == 0:
+            break
+        ahead = runs.select(F.col("id").alias("last"), F.col("last").alias("l2"), F.col("open").alias("o2"),
+                            F.col("low").alias("low2"))
+        runs = runs.join(ahead, "last").select(
+            "id", F.col("l2").alias("last"), F.col("o2").alias("open"), F.least("low", "low2").alias("low")).checkpoint()
+    ends = inner.select(F.col("id").alias("last"), F.col("next").alias("tail"))
+    begins = (inner.join(inner.select(F.col("id").alias("prev")), "prev", "left_anti").join(runs, "id")
+              .select("last", F.col("prev").alias("head")))
+    cycles = runs.where("open").select("id", F.col("low").alias("head"), F.col("low").alias("tail"))
+    paths = begins.join(ends, "last")
+    cut = (runs.where("not open").join(paths, "last").select("id", "head", "tail").unionByName(cycles)).checkpoint()
+    gone = inner.select("id")
+    rest = (
+        edges.join(gone.withColumnRenamed("id", "src"), "src", "left_anti")
+        .join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti")
+        .select("src", "dst")
+        .union(paths.where("head <> tail").select("head", "tail"))
+        .distinct().checkpoint()
     )
-    cur = labels.select("id", col)
+    return rest, cut
+
+
+#: trimming and bypassing go on while a pass removes at least a tenth of the edges
+WORTHWHILE = 0.9
+
+
+def _core(edges: DataFrame, cuts: list[DataFrame]) -> tuple[DataFrame, int]:
+    """``edges`` trimmed and with runs bypassed, and how many are left; bypassed vertices go to ``cuts``.
+
+    Ends once a pass removes little: shapes that lose a few edges a pass at
+    their ends are left to the colouring, which decides them all the same.
+    """
+    size = edges.count()
+    while size:
+        edges = _trim(edges)
+        left = edges.count()
+        log.info("trim: %d of %d edges left", left, size)
+        if left > WORTHWHILE * size and (found := _bypass(edges)):
+            edges, cut = found
+            cuts.append(cut)
+            left = edges.count()
+            log.info("bypass: %d edges left", left)
+        size, before = left, size
+        if size > WORTHWHILE * before:
+            break
+    return edges, size
+
+
+def _spread(state: DataFrame, flow: DataFrame, what: str, max_steps: int) -> DataFrame:
+    """Fixed point of ``value(b) = min(value(b), value(a))`` over ``flow(a, b)``; ``state`` is ``id, value, fresh``.
+
+    Only vertices whose value has changed in the last step (``fresh``) send it
+    on, so a step's join and exchange shrink with the frontier.
+    """
+    flow = flow.repartition(_partitions(flow), "a").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for _ in range(0, max_iter, batch):
-            r = cur
-            for _ in range(batch):
-                r = (
-                    edges.join(r.select(F.col("id").alias("a"), F.col(col).alias("x")), "a")
-                    .groupBy(F.col("b").alias("id"))
-                    .agg(F.min("x").alias(col), F.min(F.when(F.col("own"), F.col("x"))).alias("__old"))
-                )
-            r = r.checkpoint()
-            if r.filter(F.col(col) < F.col("__old")).limit(1).count() == 0:
-                return r.select("id", col)
-            cur = r.select("id", col)
+        state = state.checkpoint()
+        for step in range(max_steps):
+            frontier = state.where("fresh").select(F.col("id").alias("a"), "value")
+            waiting = frontier.count()
+            log.info("%s step %d: %d vertices send", what, step, waiting)
+            if not waiting:
+                return state.select("id", "value")
+            sent = flow.join(frontier, "a").select(F.col("b").alias("id"), "value", F.lit(False).alias("own"))
+            state = (
+                state.select("id", "value", F.lit(True).alias("own")).unionByName(sent).groupBy("id")
+                .agg(F.min("value").alias("value"), F.min(F.when(F.col("own"), F.col("value"))).alias("was"))
+                .select("id", "value", (F.col("value") < F.col("was")).alias("fresh")).checkpoint()
+            )
     finally:
-        edges.unpersist()
-    raise RuntimeError("SCC label propagation did not converge")
+        flow.unpersist()
+    raise RuntimeError(f"SCC label propagation did not converge in {max_steps} steps")
 
 
-def _retire(active: DataFrame, ae: DataFrame, forward: bool, batch: int, max_iter: int) -> DataFrame:
-    """SCCs rooted at colour roots: ``(id, component)``.
+def _colour_round(edges: DataFrame, rnd: int, max_steps: int) -> tuple[DataFrame, DataFrame]:
+    """``id, root`` of the components found in this round, and the edges that may hold others.
 
-    ``forward``: colour = smallest id that reaches the vertex; a vertex
-    coloured with its own id is a root, and the vertices of its colour that
-    reach it (backward marking inside the colour) are its SCC.  The reverse
-    direction swaps the roles of ``src`` and ``dst``.  Either way the root is
-    the smallest id of its SCC, so both directions give the same labels.
+    Every vertex takes the colour of the first vertex, in a fixed order, that
+    reaches it; a vertex of its own colour is a pivot, and what reaches it
+    inside its colour is its component.  A component lies within one colour, so
+    edges between colours go.  The order is by in- times out-degree in the
+    first round, which finds a giant component at once, and random in the
+    others, so that a chain of components falls apart in logarithmically many.
     """
-    a, b = ("src", "dst") if forward else ("dst", "src")
-    colour = _min_fixpoint(
-        active.select("id", F.col("id").alias("c")),
-        ae.select(F.col(a).alias("a"), F.col(b).alias("b")),
-        "c", batch, max_iter,
-    )
-    same_colour = (
-        ae.join(colour.select(F.col("id").alias(a), F.col("c").alias("ca")), a)
-        .join(colour.select(F.col("id").alias(b), F.col("c").alias("cb")), b)
-        .filter(F.col("ca") == F.col("cb"))
-        .select(F.col(b).alias("a"), F.col(a).alias("b"))
-    )
-    mark = _min_fixpoint(
-        colour.select("id", F.when(F.col("c") == F.col("id"), F.lit(0)).otherwise(F.lit(1)).alias("mk")),
-        same_colour, "mk", batch, max_iter,
+    if rnd == 0:
+        ends = F.array(F.struct(F.col("src").alias("id"), F.lit(1).alias("o"), F.lit(0).alias("i")),
+                       F.struct(F.col("dst").alias("id"), F.lit(0).alias("o"), F.lit(1).alias("i")))
+        first = edges.select(F.inline(ends)).groupBy("id").agg((-F.sum("o") * F.sum("i")).alias("order"))
+    else:
+        first = vertices_of(edges).select("id", F.xxhash64("id", F.lit(rnd)).alias("order"))
+    start = first.select("id", F.struct("order", "id").alias("value"), F.lit(True).alias("fresh"))
+    colour = _spread(start, edges.select(F.col("src").alias("a"), F.col("dst").alias("b")), "forward", max_steps)
+    colour = colour.select("id", F.col("value.id").alias("root"))
+    inside = (
+        edges.join(colour.select(F.col("id").alias("src"), F.col("root").alias("rs")), "src")
+        .join(colour.select(F.col("id").alias("dst"), F.col("root").alias("rd")), "dst")
+        .where("rs = rd").select("src", "dst").checkpoint()
     )
-    return mark.filter(F.col("mk") == 0).join(colour, "id").select("id", F.col("c").alias("component"))
+    pivot = F.col("id") == F.col("root")
+    back = _spread(colour.select("id", F.when(pivot, 0).otherwise(1).alias("value"), pivot.alias("fresh")),
+                   inside.select(F.col("dst").alias("a"), F.col("src").alias("b")), "backward", max_steps)
+    found = back.where("value = 0").join(colour, "id").select("id", "root").checkpoint()
+    gone = found.select("id")
+    rest = (inside.join(gone.withColumnRenamed("id", "src"), "src", "left_anti")
+            .join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti").select("src", "dst").checkpoint())
+    return found, rest
 
 
-def strongly_connected_components(
-    edges: DataFrame, max_rounds: int = 10_000, max_iter: int = 1_000_000, batch: int = 5
-) -> DataFrame:
+def strongly_connected_components(edges: DataFrame, max_rounds: int = 10_000, max_steps: int = 1_000_000) -> DataFrame:
     """``(id, component)``: component = smallest vertex id of the SCC.
 
-    Rounds of colour-and-mark (see ``_retire``) over the still active
-    vertices; found SCCs retire.  Round 1 colours forward only (it resolves
-    graphs whose small ids sit upstream, like the test graphs, in one round);
-    later rounds also colour backward, so a chain is resolved whichever way
-    its ids increase, and trim vertices without active in- or out-edges
-    (singleton SCCs).  Every round retires at least the SCC of the smallest
-    active id.  Raises if vertices are still active after ``max_rounds``.
+    Edges that cannot lie on a cycle are trimmed and runs of vertices with one
+    way in and out bypassed, as long as that removes a tenth of the edges; what
+    is left is coloured (``_colour_round``) and trimmed again until no edge is left.  Found
+    components are appended to one table; a vertex that is in none is alone.
+    Bypassed vertices take their head's component afterwards, the last cut
+    first.  Raises if edges are left after ``max_rounds`` colourings.
     """
-    checkpoint_root(edges.sparkSession)
+    spark = edges.sparkSession
+    checkpoint_root(spark)
     base = edges.select("src", "dst").checkpoint()
-    e = base.filter(F.col("src") != F.col("dst")).distinct().checkpoint()
-    active = vertices_of(base).checkpoint()
-    done = None
+    table = scratch_path(spark, "scc")
+    spark.createDataFrame([], "id bigint, root bigint").write.parquet(table)
+    found = lambda: spark.read.schema("id bigint, root bigint").parquet(table)
+    cuts: list[DataFrame] = []
+    rest, size = _core(base.where("src <> dst").distinct().checkpoint(), cuts)
     for rnd in range(max_rounds):
-        if active.limit(1).count() == 0:
+        if not size:
             break
-        ae = (
-            e.join(active.select(F.col("id").alias("src")), "src", "left_semi")
-            .join(active.select(F.col("id").alias("dst")), "dst", "left_semi")
-            .checkpoint()
-        )
-        found = _retire(active, ae, True, batch, max_iter).checkpoint()
-        if rnd > 0:
-            back = _retire(active, ae, False, batch, max_iter)
-            # trim: an active vertex without active in- or out-edges is alone
-            no_in = active.join(ae.select(F.col("dst").alias("id")), "id", "left_anti")
-            no_out = active.join(ae.select(F.col("src").alias("id")), "id", "left_anti")
-            trivial = no_in.union(no_out).select("id", F.col("id").alias("component"))
-            found = found.union(back).union(trivial).dropDuplicates(["id"]).checkpoint()
-        done = found if done is None else done.union(found)
-        active = active.join(found, "id", "left_anti").checkpoint()
-    else:
-        if active.limit(1).count():
-            raise RuntimeError(f"vertices are still without a component after {max_rounds} rounds")
-    if done is None:  # no vertices at all
-        return active.select("id", F.col("id").alias("component"))
-    return done
+        members, rest = _colour_round(rest, rnd, max_steps)
+        members.write.mode("append").parquet(table)
+        rest, size = _core(rest, cuts)
+        log.info("round %d: %d edges left", rnd, size)
+    if size:
+        raise RuntimeError(f"vertices are still without a component after {max_rounds} rounds")
+    for cut in reversed(cuts):
+        # heads and tails were still there when their run was cut, so later cuts and rounds have decided them
+        head, tail = (found().select(F.col("id").alias(c), F.col("root").alias(f"{c}_root")) for c in ("head", "tail"))
+        roots = cut.join(head, "head", "left").join(tail, "tail", "left").select(
+            "id", F.coalesce("head_root", "head").alias("root"), F.coalesce("tail_root", "tail").alias("tail_root"))
+        roots.where("root = tail_root").select("id", "root").checkpoint().write.mode("append").parquet(table)
+    rooted = vertices_of(base).join(found(), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+    lowest = rooted.groupBy("root").agg(F.min("id").alias("component"))
+    return rooted.join(lowest, "root").select("id", "component").checkpoint()
 
 
 def scc_members(components: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
