@@ -28,13 +28,26 @@ def month_of_text(time: str | Column) -> Column:
 
 
 def parse_post_time(text: str | Column) -> Column:
-    """Text post time -> timestamp; unparsable text becomes null (never fails).
+    """Text post time ``year-month-day hour:minute`` -> timestamp; anything else becomes null (never fails).
 
-    Months, days, hours and minutes may have one digit, and what follows the
-    minutes (seconds, say) is ignored.
+    Lenient as calendars are: fields may have fewer or more digits than usual
+    and roll over (the 30th of February is the 1st or 2nd of March, month 13 is
+    January, month 0 December before, hour 25 one o'clock of the next day).
+    Blanks before a field and whatever follows the minutes are ignored.  Years
+    have one to four digits, other fields one to six; other text is null.
     """
-    minutes = F.regexp_extract(col_(text), r"^\s*(\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2})", 1)
-    return F.try_to_timestamp(minutes, F.lit("yyyy-M-d H:m"))
+    pattern = r"^[ \t]*(\d{1,4})-[ \t]*(\d{1,6})-[ \t]*(\d{1,6}) [ \t]*(\d{1,6}):[ \t]*(\d{1,6})(?!\d)"
+    year, month, day, hour, minute = (
+        F.regexp_extract(col_(text), pattern, g).try_cast("int")
+        for g in range(1, 6))
+    minutes = hour * 60 + minute
+    first = F.add_months(F.make_date(F.when(year > 0, year), F.lit(1), F.lit(1)), month - 1)
+    date = F.date_add(first, day - 1 + F.floor(minutes / 1440).cast("int"))
+    rest = minutes % 1440
+    # from the fields of the wall clock, so that a day's length does not matter
+    at = F.make_timestamp(F.year(date), F.month(date), F.day(date), F.floor(rest / 60).cast("int"), rest % 60,
+                          F.lit(0).cast("decimal(16,6)"))
+    return F.when(F.year(date).between(1, 9999), at)
 
 
 def format_post_time(time: str | Column) -> Column:

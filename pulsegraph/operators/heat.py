@@ -12,7 +12,7 @@ Shuffle plan of the flagship (posts -> monthly -> decay -> top-5):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegraph.functions.columns import heat_score, month_of
@@ -30,37 +30,51 @@ def monthly_measures(posts: DataFrame, key: str = "account", time: str = "time")
     )
 
 
+#: months in a block: x * 2^60 for any bigint x, summed over a block, stays within decimal(38)
+BLOCK_MONTHS = 60
+
+
 def heat_decay_series(monthly: DataFrame, key: str = "account") -> DataFrame:
     """Half-life heat per account over its months in ascending order.
 
     ``v1 = x1``, ``vn = xn + v(n-1) div 2`` for each measure separately; only
     months present for the account are steps (a gap does not halve again).
-    Exact integer fold with the built-in ``aggregate`` over the account's
-    month-sorted array (bounded by the number of calendar months).
+
+    Steps compose: ``(x + v div 2) div 2 = (2x + v) div 4`` for counts, so n
+    steps are the one map ``v -> (v + S) div 2^n`` with ``S = Σ x_i 2^i``.  An
+    account's months are cut in blocks of 60; inside a block S is a running
+    sum, and only the blocks' own maps are chained.  Exact, and linear in the
+    months: no array of an account's months is built.  Missing counts are 0;
+    negative ones fail the job.
     """
-    m = monthly.select(key, "month", *MEASURES)
-    series = m.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("month", *MEASURES))).alias("xs")
-    )
-    out_type = "array<struct<month:string,like_heat:bigint,repost_heat:bigint,comment_heat:bigint>>"
-    fold = F.expr(
-        f"""
-        aggregate(
-          xs,
-          named_struct('l', 0L, 'r', 0L, 'c', 0L, 'out', cast(array() as {out_type})),
-          (acc, x) -> named_struct(
-            'l', x.like_num + acc.l div 2,
-            'r', x.repost_num + acc.r div 2,
-            'c', x.comment_num + acc.c div 2,
-            'out', concat(acc.out, array(named_struct(
-                'month', x.month,
-                'like_heat', x.like_num + acc.l div 2,
-                'repost_heat', x.repost_num + acc.r div 2,
-                'comment_heat', x.comment_num + acc.c div 2)))),
-          acc -> acc.out)
-        """
+    order = Window.partitionBy(key).orderBy("month")
+    inside = Window.partitionBy(key, "__block").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
+
+    def count(m: str) -> Column:
+        x = F.coalesce(F.col(m), F.lit(0))
+        return F.when(x < 0, F.raise_error(F.lit(f"{m} is negative"))).otherwise(x).cast("decimal(20,0)")
+
+    power = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("__step")).cast("decimal(20,0)")
+    n = F.row_number().over(order) - 1
+    rows = (
+        monthly.select(key, "month", *MEASURES, n.alias("__n"))
+        .withColumn("__block", F.floor(F.col("__n") / BLOCK_MONTHS).cast("int"))
+        .withColumn("__step", (F.col("__n") % BLOCK_MONTHS + 1).cast("int"))
+        .withColumns({f"__{h}": F.sum(count(m) * power).over(inside) for m, h in zip(MEASURES, HEAT)})
     )
-    return series.select(key, F.inline(fold))
+    # a block's map stands at its last row; a row needs those of the blocks before its own
+    ends = Window.partitionBy(key)
+    last = (F.col("__step") == BLOCK_MONTHS)
+    rows = rows.withColumn("__ends", F.array_sort(F.collect_list(
+        F.when(last, F.struct("__block", *[F.col(f"__{h}").alias(h) for h in HEAT]))).over(ends)))
+
+    def value(h: str) -> Column:
+        before = F.expr(
+            f"aggregate(slice(__ends, 1, __block), cast(0 as decimal(38,0)), "
+            f"(v, e) -> cast((v + e.{h}) div shiftleft(1L, {BLOCK_MONTHS}) as decimal(38,0)))")
+        return F.call_function("div", before + F.col(f"__{h}"), power).cast("bigint").alias(h)
+
+    return rows.select(key, "month", *[value(h) for h in HEAT])
 
 
 def heat_cumulative_series(monthly: DataFrame, key: str = "account") -> DataFrame:

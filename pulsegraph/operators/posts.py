@@ -12,7 +12,6 @@ from pulsegraph.functions.columns import (
     format_post_time,
     month_of,
     parse_post_time,
-    quarter_label,
 )
 
 
@@ -96,15 +95,32 @@ def posts_by_month(posts: DataFrame, calendar: DataFrame, time: str = "time") ->
     return with_month(posts, time).join(F.broadcast(calendar), "month", "left_semi")
 
 
+def posts_between(posts: DataFrame, first_year: int, last_year: int, time: str = "time") -> DataFrame:
+    """Posts of the years ``first_year`` to ``last_year`` with their ``month``: the calendar as a range of times.
+
+    A plain range on the time column, so it reaches the scan and whole files
+    or row groups outside the calendar are skipped; nothing is joined.
+    """
+    t = F.col(time)
+    start = lambda year: F.make_timestamp(*[F.lit(x) for x in (year, 1, 1, 0, 0, 0)])
+    return with_month(posts.filter((t >= start(first_year)) & (t < start(last_year + 1))), time)
+
+
+def scan_months(posts_by_month_table: DataFrame, months: DataFrame) -> DataFrame:
+    """The posts of ``months`` (``month``) from a ``month``-partitioned table.
+
+    A semi-join on the partition column: Spark evaluates ``months`` first and
+    lists and reads only the partitions in it (dynamic partition pruning).  A
+    calendar has 12 rows a year, so it is broadcast.
+    """
+    return posts_by_month_table.join(F.broadcast(months.select("month")), "month", "left_semi")
+
+
 def posts_in_month(posts: DataFrame, month: str, time_text: str = "time") -> DataFrame:
     """Text-time prefix test: posts whose time text starts with ``month``."""
     return posts.filter(F.col(time_text).startswith(month))
 
 
-def with_quarter(posts: DataFrame, time: str = "time", out: str = "quarter") -> DataFrame:
-    return posts.withColumn(out, quarter_label(time))
-
-
 def period_membership(
     posts: DataFrame,
     first_year: int | None = None,

@@ -9,6 +9,8 @@ from pulsegraph.operators import heat as H
 from pulsegraph.operators import posts as P
 from pulsegraph.plans.registry import query
 from pulsegraph.plans.sqlviews import with_views
+from pulsegraph.session import scratch_path
+from pulsegraph.sources import documents as D
 from pulsegraph.sources import tables as T
 
 PERIODS_SQL = """periods AS (
@@ -182,6 +184,80 @@ def posts_by_month(spark, d):
     )
 
 
+FIRST_YEAR, LAST_YEAR = 1994, 1996
+
+
+@query("posts_by_month_bounded", operators=("W-5", "F-3"), sql=with_views("posts") + f"""
+SELECT strftime(time, '%Y-%m') AS month, post_id, account, like_num, repost_num, comment_num
+FROM posts WHERE year(time) BETWEEN {FIRST_YEAR} AND {LAST_YEAR}""")
+def posts_by_month_bounded(spark, d):
+    """A calendar that drops months, as a range of times that the scan gets."""
+    return P.posts_between(_posts(spark, d), FIRST_YEAR, LAST_YEAR).select(
+        "month", "post_id", "account", "like_num", "repost_num", "comment_num")
+
+
+#: times that a lenient calendar rolls over, and two that it cannot read
+ODD_TIMES = ("13-{d} 09:41", "02-30 25:61:07", "0-00 7:5", "12-31 24:00", "1/5 10:00", "")
+
+
+def document_lines(spark, d):
+    """``value``: the posts as a crawler's JSON lines, all fields; every 23rd kind of line is odd or broken."""
+    kind = F.col("kind")
+    time = format_post_time("time")
+    for k, odd in enumerate(ODD_TIMES):
+        before, _, after = odd.partition("{d}")
+        text = F.concat(F.lit(before), F.day("time").cast("string"), F.lit(after)) if "{d}" in odd else F.lit(odd)
+        time = F.when(kind == k, F.concat(F.year("time").cast("string"), F.lit("-"), text)).otherwise(time)
+    tag = F.when(F.col("repost_num") % 3 == 0, F.array(F.concat(F.lit("t"), F.col("like_num").cast("string"))))
+    at = F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("repost_num")), lambda i: F.concat(F.lit("@"), i.cast("string")))
+    text = lambda c: F.col(c).cast("string")
+    whole = F.to_json(F.struct(
+        F.when(kind != 6, text("post_id")).alias("id"), F.when(kind != 7, text("account")).alias("account"), "repost",
+        F.concat(F.lit('"quoted", ü\n'), text("post_id")).alias("content"), tag.alias("tag"), at.alias("at"),
+        F.when(kind == 8, F.lit("many")).when(kind != 9, text("comment_num")).alias("imgNum"),
+        F.when(kind == 10, F.lit("1.5")).otherwise(text("like_num")).alias("likeNum"),
+        text("repost_num").alias("repostNum"), text("comment_num").alias("commentNum"), time.alias("time")))
+    line = (F.when(kind == 11, F.substring(whole, 1, 30)).when(kind == 12, F.lit("not a document"))
+            .when(kind == 13, F.regexp_replace(whole, r'"at":\[[^\]]*\]', '"at":{"name":"x"}')).otherwise(whole))
+    return T.posts(spark, d).withColumn("kind", (F.col("post_id") * 7 + F.col("repost_num")) % 23).select(line.alias("value"))
+
+
+def _load(spark, d):
+    path, aside = scratch_path(spark, "documents"), scratch_path(spark, "quarantine")
+    document_lines(spark, d).write.text(path)
+    return D.load_documents(spark, path, aside), spark.read.parquet(aside)
+
+
+_KINDS = "k AS (SELECT *, (post_id * 7 + repost_num) % 23 AS kind FROM posts)"
+
+
+@query("typed_documents", operators=("S-4", "P-3", "E-6", "E-8"), sql=with_views("posts", extra=_KINDS) + """
+SELECT post_id, account, repost, '"quoted", ü' || chr(10) || post_id AS content,
+       CASE WHEN repost_num % 3 = 0 THEN 't' || like_num ELSE '' END AS tags,
+       array_to_string(list_transform(range(1, repost_num + 1), lambda i: '@' || i), ',') AS mentions,
+       CASE WHEN kind = 9 THEN 0 ELSE comment_num END AS img_num, like_num, repost_num, comment_num,
+       strftime(CASE kind WHEN 0 THEN make_date(year(time) + 1, 1, 1) + to_days(CAST(day(time) - 1 AS INTEGER)) + INTERVAL 581 MINUTE
+                          WHEN 1 THEN make_date(year(time), 2, 1) + INTERVAL 30 DAY + INTERVAL 121 MINUTE
+                          WHEN 2 THEN make_date(year(time) - 1, 11, 30) + INTERVAL 425 MINUTE
+                          WHEN 3 THEN CAST(make_date(year(time) + 1, 1, 1) AS TIMESTAMP)
+                          WHEN 4 THEN NULL WHEN 5 THEN NULL ELSE time END, '%Y-%m-%d %H:%M') AS time
+FROM k WHERE kind NOT IN (6, 7, 8, 10, 11, 12, 13)""")
+def typed_documents(spark, d):
+    docs, _ = _load(spark, d)
+    joined = lambda c: F.array_join(c, ",").alias(c)
+    return P.export_time(docs).select("post_id", "account", "repost", "content", joined("tags"), joined("mentions"),
+                                      "img_num", "like_num", "repost_num", "comment_num", "time")
+
+
+@query("document_quarantine", operators=("S-4",), sql=with_views("posts", extra=_KINDS) + """
+SELECT CASE kind WHEN 6 THEN 'no id' WHEN 7 THEN 'no account' WHEN 8 THEN 'imgNum' WHEN 10 THEN 'likeNum' ELSE 'malformed' END AS reason,
+       kind = 12 AS is_no_json, count(*) AS n
+FROM k WHERE kind IN (6, 7, 8, 10, 11, 12, 13) GROUP BY ALL""")
+def document_quarantine(spark, d):
+    _, aside = _load(spark, d)
+    return aside.groupBy("reason", (F.col("line") == "not a document").alias("is_no_json")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("union_all_inputs", operators=("U-1",), sql=with_views("posts", "posts_at") + """
 SELECT post_id, account, like_num, repost_num, comment_num, CAST(NULL AS BIGINT) AS n_mentions,
        'posts' AS source FROM posts

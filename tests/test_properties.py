@@ -118,3 +118,46 @@ def test_string_hash_on_random_bmp_text(spark):
     df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, s string")
     got = {r.i: r.h for r in df.select("i", java_string_hash("s").alias("h")).collect()}
     assert got == {i: jvm_hash(w) for i, w in enumerate(words)}
+
+
+def test_decay_of_long_series_is_exact(spark):
+    """5,000 months, so 84 blocks, with counts up to the largest bigint a sum allows."""
+    rnd = random.Random(12)
+    rows, want = [], {}
+    for acc, n, top in ((1, 5_000, 10**6), (2, 61, 2**62), (3, 60, 2**62), (4, 1, 5), (None, 130, 9)):
+        prev = [0, 0, 0]
+        for i in range(n):
+            x = [rnd.choice([0, 1, rnd.randrange(top)]) for _ in range(3)]
+            prev = [x[k] + prev[k] // 2 for k in range(3)]
+            if max(prev) >= 2**63:  # a heat that no bigint holds
+                x, prev = [0, 0, 0], [p - y for p, y in zip(prev, x)]
+            month = f"{1000 + i // 12:04d}-{i % 12 + 1:02d}"
+            rows.append((acc, month, *x))
+            want[(acc, month)] = tuple(prev)
+    monthly = spark.createDataFrame(rows, "account long, month string, like_num long, repost_num long, comment_num long")
+    got = {(r.account, r.month): (r.like_heat, r.repost_heat, r.comment_heat)
+           for r in H.heat_decay_series(monthly.repartition(5)).collect()}
+    assert got == want
+
+
+def test_lenient_times_roll_over_like_a_calendar(spark):
+    rnd = random.Random(3)
+
+    def calendar(y, mo, d, h, mi):
+        months = y * 12 + mo - 1
+        first = dt.datetime(months // 12, months % 12 + 1, 1)
+        return first + dt.timedelta(days=d - 1, hours=h, minutes=mi)
+
+    from pulsegraph.functions.columns import parse_post_time
+    rows = []
+    for _ in range(300):
+        y, mo, d, h, mi = rnd.randint(1900, 2100), rnd.randint(0, 40), rnd.randint(0, 99), rnd.randint(0, 99), rnd.randint(0, 500)
+        text = f"{rnd.choice(['', ' '])}{y}-{mo:0{rnd.choice([1, 2])}d}-{d} {rnd.choice(['', ' '])}{h}:{mi}{rnd.choice(['', ':59', ' x'])}"
+        rows.append((text, calendar(y, mo, d, h, mi)))
+    rows += [(t, None) for t in ("", "none", "2001/01/02 03:04", "2001-01-02", "2001-01-02T03:04", "x2001-01-02 03:04",
+                                 "0-01-02 03:04", "9999-13-01 00:00", "2001-1234567-01 00:00", "2001--1-02 03:04")]
+    rows += [("2001-02-30 10:00", dt.datetime(2001, 3, 2, 10)), ("2001-13-05 10:00", dt.datetime(2002, 1, 5, 10)),
+             ("2001-04-05 25:10", dt.datetime(2001, 4, 6, 1, 10)), (None, None)]
+    df = spark.createDataFrame(rows, "text string, want timestamp")
+    wrong = df.select("text", "want", parse_post_time("text").alias("got")).where("not (want <=> got)").collect()
+    assert wrong == []

@@ -1,3 +1,4 @@
+from pulsegraph.sources import tables as T
 from pulsegraph.session import scratch_path
 from pulsegraph.sinks import writers as W
 from pulsegraph.sources import files as FS
@@ -97,3 +98,52 @@ def test_leaderboard_text_files_are_in_month_order(spark, sf):
         assert len(files) == 1  # one file per measure
         months = [line.split("\t", 1)[0] for line in open(files[0]).read().splitlines()]
         assert months == sorted(months) and len(months) == 83
+
+
+def test_documents_keep_all_fields_and_set_the_broken_aside(spark):
+    from pulsegraph.session import scratch_path
+    from pulsegraph.sources import documents as D
+    lines = [
+        '{"id":"1","account":"7","repost":"x","content":"a \\"b\\"\\n","tag":["t","u"],"at":["@n"],"imgNum":"2","likeNum":" 3 ",'
+        '"repostNum":"4","commentNum":"5","time":"2001-02-30 10:00","extra":1}',
+        '{"id":"2","account":"7"}',
+        '{"id":"3","account":"7","time":"soon"}',
+        '{"id":"4","account":"7","likeNum":"lots"}',
+        '{"account":"7"}', '{"id":"5"}', '{"id":"six","account":"7"}',
+        '{"id":"8","account":"7","at":"@n"}', '{"id":"9","acc', "junk", "[1, 2]", "",
+    ]
+    path, aside = scratch_path(spark, "docs"), scratch_path(spark, "aside")
+    spark.createDataFrame([(x,) for x in lines], "value string").repartition(3).write.text(path)
+    good = {r.post_id: r for r in D.load_documents(spark, path, aside).collect()}
+    assert set(good) == {1, 2, 3}
+    one = good[1]
+    assert (one.account, one.repost, one.content, one.tags, one.mentions) == (7, "x", 'a "b"\n', ["t", "u"], ["@n"])
+    assert (one.img_num, one.like_num, one.repost_num, one.comment_num, str(one.time)) == (2, 3, 4, 5, "2001-03-02 10:00:00")
+    assert (good[2].tags, good[2].mentions, good[2].like_num, good[2].time) == ([], [], 0, None)
+    assert good[3].time is None
+    bad = sorted((r.reason, r.line) for r in spark.read.parquet(aside).collect())
+    assert [b[0] for b in bad] == ["likeNum"] + ["malformed"] * 4 + ["no account"] + ["no id"] * 2
+    assert {'{"id":"9","acc', "junk", "[1, 2]"} <= {b[1] for b in bad}
+
+
+def test_calendar_bounds_reach_the_scan(spark, sf):
+    from pulsegraph.operators import posts as P
+    posts = T.posts(spark, sf)
+    some = P.posts_between(posts, 1994, 1996)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_shipdate,1994" in plan and "LessThan(l_shipdate,1997" in plan
+    assert 0 < some.count() < posts.count()
+    assert {m[:4] for (m,) in some.select("month").distinct().collect()} == {"1994", "1995", "1996"}
+
+
+def test_months_prune_partitions_at_run_time(spark, sf):
+    from pulsegraph.operators import posts as P
+    from pulsegraph.session import scratch_path
+    path = scratch_path(spark, "months")
+    P.with_month(T.posts(spark, sf)).write.partitionBy("month").parquet(path)
+    table = spark.read.parquet(path)
+    months = P.month_calendar(spark, 1990, 2000).where("month like '1995-0%'")
+    out = P.scan_months(table, months)
+    assert "dynamicpruning" in out._jdf.queryExecution().executedPlan().toString()
+    assert {r.month for r in out.select("month").distinct().collect()} == {f"1995-0{i}" for i in range(1, 10)}
+    assert out.count() == table.where("month >= '1995-01' and month < '1995-10'").count()

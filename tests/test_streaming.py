@@ -69,3 +69,76 @@ def test_processing_time_trigger_keeps_running(spark, sf):
         assert _sorted(S.latest_snapshot(spark, out)) == _sorted(H.account_measure_totals(posts))
     finally:
         q.stop()
+
+
+def _batch(spark, rows):
+    return spark.createDataFrame(rows, "k long, v long")
+
+
+def test_merged_snapshots_survive_replays_and_crashes(spark, monkeypatch):
+    out = scratch_path(spark, "merged")
+    write = S.merged_writer(out, ["k"], compact_every=3, keep=2)
+    state = {}
+    for epoch in range(8):
+        rows = [(k, 100 * epoch + k) for k in range(epoch, epoch + 3)] + [(None, epoch)]
+        if epoch == 4:  # the data is there, the pointer is not
+            with monkeypatch.context() as m:
+                m.setattr(S, "write_pointer", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+                try:
+                    write(_batch(spark, [*rows, (77, 77)]), epoch)
+                except OSError:
+                    pass
+            assert _sorted(S.merged_snapshot(spark, out, ["k"]).na.fill(-1)) == sorted((-1 if k is None else k, v) for k, v in state.items())
+        write(_batch(spark, rows), epoch)
+        if epoch == 5:  # replayed after it was done
+            write(_batch(spark, [(1, -1)]), epoch)
+        state |= dict(rows)
+        got = S.merged_snapshot(spark, out, ["k"])
+        assert got.columns == ["k", "v"]
+        assert {tuple(r) for r in got.collect()} == set(state.items())
+        assert S.pointers(spark, out) == [n for n in (epoch, epoch + 1) if n]
+    # two kept states: the base after 6 and the changes of 7 and 8
+    assert sorted(n for n in S._names(spark, out) if "=" in n) == ["base=6", "changes=7", "changes=8"]
+
+
+def test_merged_stream_resumes_after_a_lost_pointer(spark, sf, monkeypatch):
+    posts = T.posts(spark, sf)
+    inp, out, ck = (scratch_path(spark, f"x-{n}") for n in ("in", "out", "ck"))
+    S.stage_files(posts, inp, 5)
+    write, plain, calls = S.merged_writer(out, ["account"], compact_every=2), S.write_pointer, []
+
+    def fails_once(spark, path, number, state):
+        calls.append(number)
+        if number == 3 and calls.count(3) == 1:
+            raise OSError("lost")
+        plain(spark, path, number, state)
+
+    monkeypatch.setattr(S, "write_pointer", fails_once)
+    run = lambda: S.run_to_end(S.running_account_measures(S.file_stream(spark, inp, posts.schema)), out, ck,
+                               "update", writer=write)
+    try:
+        run()
+    except Exception:
+        pass
+    assert S.pointers(spark, out)[-1] == 2
+    run()
+    assert calls == [1, 2, 3, 3, 4, 5]
+    assert _sorted(S.merged_snapshot(spark, out, ["account"])) == _sorted(H.account_measure_totals(posts))
+
+
+def test_registered_streams_run_several_batches(spark, sf):
+    from pulsegraph.plans import q_stream
+    from pulsegraph.plans import queries
+    seen = []
+    plain = S.merged_writer
+
+    def counted(*args):
+        write = plain(*args)
+        return lambda batch, epoch: (seen.append(epoch), write(batch, epoch))
+
+    S.merged_writer = counted
+    try:
+        queries()["stream_account_measures"](spark, sf).count()
+    finally:
+        S.merged_writer = plain
+    assert seen == list(range(q_stream.BATCHES)) and q_stream.BATCHES >= 4
