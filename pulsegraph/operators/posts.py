@@ -42,14 +42,6 @@ def scan_account(posts: DataFrame, account) -> DataFrame:
     return posts.filter(F.col("account") == F.lit(account))
 
 
-def scan_entity(collections: DataFrame, key: str, value, buckets: int = 16) -> DataFrame:
-    """One entity's rows from ``write_by_entity`` folders: the bucket test is
-    constant-folded into a partition filter (only one folder is listed and
-    read) and the key test is pushed into the parquet scan."""
-    bucket = F.pmod(F.xxhash64(F.lit(value).cast(collections.schema[key].dataType)), F.lit(buckets))
-    return collections.filter((F.col("bucket") == bucket) & (F.col(key) == F.lit(value)))
-
-
 def scan_month(posts_by_month_table: DataFrame, month: str) -> DataFrame:
     """One month's posts from a ``month``-partitioned table (partition pruning)."""
     return posts_by_month_table.filter(F.col("month") == F.lit(month))

@@ -184,7 +184,7 @@ def posts_by_month(spark, d):
     )
 
 
-FIRST_YEAR, LAST_YEAR = 1994, 1996
+FIRST_YEAR, LAST_YEAR = 1996, 1998
 
 
 @query("posts_by_month_bounded", operators=("W-5", "F-3"), sql=with_views("posts") + f"""

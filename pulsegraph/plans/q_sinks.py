@@ -12,6 +12,7 @@ from pulsegraph.plans import q_graph, q_posts  # noqa: F401  (oracles reused)
 from pulsegraph.plans.registry import REGISTRY, query
 from pulsegraph.plans.sqlviews import with_views
 from pulsegraph.session import scratch_path
+from pulsegraph.sinks import entities as E
 from pulsegraph.sinks import writers as W
 from pulsegraph.sources import files as FS
 from pulsegraph.sources import tables as T
@@ -149,11 +150,10 @@ def sink_by_period(spark, d):
 @query("scan_one_account", operators=("S-2", "K-1", "P-4"), sql=with_views("posts") + """
 SELECT post_id, account, like_num, repost_num, comment_num FROM posts""")
 def scan_one_account(spark, d):
-    """Every account's collection, written once as account-bucket folders and
-    scanned back (the one-account read is ``posts.scan_entity``)."""
+    """Every account's collection, written once as a table bucketed by account and scanned back."""
     path = scratch_path(spark, "posts-by-account")
-    W.write_by_entity(T.posts(spark, d), path, "account")
-    return spark.read.parquet(path).select("post_id", "account", "like_num", "repost_num", "comment_num")
+    E.write_entities(T.posts(spark, d), path, "account")
+    return E.read_entities(spark, path).select("post_id", "account", "like_num", "repost_num", "comment_num")
 
 
 @query("scan_one_month", operators=("S-3", "W-5", "P-4"), sql=with_views("posts") + """
@@ -172,13 +172,26 @@ def scan_one_month(spark, d):
 @query("read_one_account", operators=("S-2",), sql=with_views("posts") + f"""
 SELECT post_id, account, like_num, repost_num, comment_num FROM posts WHERE account = {ONE_ACCOUNT}""")
 def read_one_account(spark, d):
-    """One account's collection out of all: one bucket folder is read."""
+    """One account's collection out of all: one bucket is read."""
     path = scratch_path(spark, "posts-by-account")
-    W.write_by_entity(T.posts(spark, d), path, "account")
-    return P.scan_entity(spark.read.parquet(path), "account", ONE_ACCOUNT).select(
+    E.write_entities(T.posts(spark, d), path, "account")
+    return P.scan_account(E.read_entities(spark, path), ONE_ACCOUNT).select(
         "post_id", "account", "like_num", "repost_num", "comment_num")
 
 
+@query("accounts_with_totals", operators=("S-2", "K-1", "J-2"), sql=with_views("posts") + """
+SELECT p.post_id, p.account, p.like_num, t.like_num AS account_likes
+FROM posts p JOIN (SELECT account, CAST(sum(like_num) AS BIGINT) AS like_num FROM posts GROUP BY account) t
+  ON t.account = p.account""")
+def accounts_with_totals(spark, d):
+    """Each post beside its account's total: on the bucketed table, neither the sum nor the join moves a row."""
+    path = scratch_path(spark, "posts-by-account")
+    E.write_entities(T.posts(spark, d), path, "account")
+    posts = E.read_entities(spark, path)
+    totals = posts.groupBy("account").agg(F.sum("like_num").cast("bigint").alias("account_likes"))
+    return posts.join(totals.hint("merge"), "account").select("post_id", "account", "like_num", "account_likes")
+
+
 @query("read_one_month", operators=("S-3", "E-2"), sql=with_views("posts") + f"""
 SELECT strftime(time, '%Y-%m') AS month, post_id, account, like_num FROM posts
 WHERE strftime(time, '%Y-%m') = '{ONE_MONTH}'""")

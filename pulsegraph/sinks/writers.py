@@ -23,19 +23,6 @@ def write_partitioned(
     df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode(mode).partitionBy(*partition_by).format(fmt).save(path)
 
 
-def entity_bucket(key: str, buckets: int):
-    """Folder bucket of an entity key (fixed folder count at any cardinality)."""
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
-
-
-def write_by_entity(df: DataFrame, path: str, key: str, buckets: int = 16, mode: str = "overwrite") -> None:
-    """Per-entity "collections" as ``bucket=<b>/`` folders: an entity's rows
-    all land in one bucket, and the folder count stays fixed however many
-    entities there are (partitioning by a high-cardinality key would not)."""
-    bucketed = df.withColumn("bucket", entity_bucket(key, buckets)).hint("rebalance", F.col("bucket"))
-    bucketed.write.mode(mode).partitionBy("bucket").parquet(path)
-
-
 def leaderboard_documents(boards: DataFrame, key_name: str = "name") -> DataFrame:
     """``(measure, month, position, name, value)`` -> ``(measure, month, doc)``,
     doc = ``{"time": month, "rankList": [{"name", "rank"}, ...]}`` in position

@@ -1,3 +1,8 @@
+import pathlib
+
+import pytest
+from pyspark.sql import functions as F
+
 from pulsegraph.sources import tables as T
 from pulsegraph.session import scratch_path
 from pulsegraph.sinks import writers as W
@@ -73,16 +78,60 @@ def test_follows_documents_are_chunked(spark, sf):
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in T.follows(spark, sf).collect())
 
 
-def test_one_entity_scan_prunes_to_one_bucket(spark, sf):
+def test_one_account_reads_one_bucket(spark, sf):
     from pulsegraph.operators import posts as P
-    from pulsegraph.sources import tables as T
+    from pulsegraph.sinks import entities as E
     p = T.posts(spark, sf)
     path = scratch_path(spark, "by-account")
-    W.write_by_entity(p, path, "account")
-    one = P.scan_entity(spark.read.parquet(path), "account", 7)
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(account,7)" in plan
-    assert one.count() == p.filter("account = 7").count() > 0
+    n = E.write_entities(p, path, "account")
+    assert n == E.LEAST_BUCKETS and E.read_manifest(spark, path)["bytes"] == E.input_bytes(p) > 0
+    assert E.bucket_count(10**13) == -(-10**13 // E.BUCKET_BYTES)
+    E.write_entities(p.limit(10), path, "account", mode="append")
+    assert E.read_entities(spark, path).count() == p.count() + 10
+    with pytest.raises(ValueError):
+        E.write_entities(p.limit(10), path, "post_id", mode="append")
+    one = P.scan_account(E.read_entities(spark, path), 7)
+    plan = one._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "EqualTo(account,7)" in plan
+    want = one.count()
+    assert want >= p.filter("account = 7").count() > 0
+    mine = {r[0].rsplit("_", 1)[1] for r in one.select(F.input_file_name()).distinct().collect()}
+    assert len(mine) == 1
+    others = [f for f in pathlib.Path(path.replace("file:", "")).glob("part-*") if f.name.rsplit("_", 1)[1] not in mine]
+    assert len(others) > 5
+    for f in others:  # whatever lies in the other buckets is not looked at
+        f.write_text("broken")
+    assert P.scan_account(E.read_entities(spark, path), 7).count() == want
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("entities_")]
+
+
+def test_account_joins_on_buckets_exchange_nothing(spark, sf):
+    from pulsegraph.plans import queries
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        out = queries()["accounts_with_totals"](spark, sf)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert out.count() == T.posts(spark, sf).count()
+    finally:
+        spark.conf.unset(threshold)
+
+
+def test_a_hot_account_is_written_by_several_tasks(spark):
+    from pulsegraph.sinks import entities as E
+    rows = spark.range(200_000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("account"),
+                                       F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    path, size = scratch_path(spark, "hot-account"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "500k")
+    try:
+        E.write_entities(rows, path, "account", buckets=8)
+    finally:
+        spark.conf.unset(size)
+    hot = E.read_entities(spark, path).filter("account = 0")
+    assert hot.count() == 100_000
+    assert hot.select(F.input_file_name()).distinct().count() > 1
 
 
 def test_leaderboard_text_files_are_in_month_order(spark, sf):
@@ -129,11 +178,12 @@ def test_documents_keep_all_fields_and_set_the_broken_aside(spark):
 def test_calendar_bounds_reach_the_scan(spark, sf):
     from pulsegraph.operators import posts as P
     posts = T.posts(spark, sf)
-    some = P.posts_between(posts, 1994, 1996)
-    plan = some._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(l_shipdate,1994" in plan and "LessThan(l_shipdate,1997" in plan
+    some = P.posts_between(posts, 1996, 1998)
+    plan = some._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "GreaterThanOrEqual(l_shipdate,1996" in plan and "LessThan(l_shipdate,1999" in plan
     assert 0 < some.count() < posts.count()
-    assert {m[:4] for (m,) in some.select("month").distinct().collect()} == {"1994", "1995", "1996"}
+    assert {m[:4] for (m,) in some.select("month").distinct().collect()} == {"1996", "1997", "1998"}
 
 
 def test_months_prune_partitions_at_run_time(spark, sf):
