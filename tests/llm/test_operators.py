@@ -411,4 +411,4 @@ def test_pipeline_stages(spark, sf):
 
 def test_queries_are_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", n).group(1)) for n in registry.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
