@@ -451,21 +451,21 @@ def _trim(edges: DataFrame) -> DataFrame:
     return edges.join(entered, "src", "left_semi").join(left, "dst", "left_semi").select("src", "dst").checkpoint()
 
 
-def _bypass(edges: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+def _bypass(edges: DataFrame, least: float = 1) -> tuple[DataFrame, DataFrame] | None:
     """Cut out the vertices with one in-edge and one out-edge: ``edges`` without them, and ``id, head, tail`` of each.
 
     A run of such vertices between ``head`` and ``tail`` becomes one edge.  Its
     vertices lie in their head's component if head and tail lie in the same
     one, and are alone otherwise.  Runs end in logarithmically many steps
     (each doubles the distance looked ahead), and a run that closes on itself
-    is a cycle: there head and tail are its smallest id.  None if there are no
-    such vertices.
+    is a cycle: there head and tail are its smallest id.  None if there are fewer
+    than ``least`` such vertices.
     """
     outs = edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("outs"), F.min("dst").alias("next"))
     ins = edges.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("ins"), F.min("src").alias("prev"))
     inner = outs.where("outs = 1").join(ins.where("ins = 1"), "id").select("id", "prev", "next").checkpoint()
     size = inner.count()
-    if not size:
+    if size < least:
         return None
     # last: the farthest vertex of the run seen so far; open: the run may go on behind it
     ids = inner.select(F.col("id").alias("next"), F.lit(True).alias("goes_on"))
@@ -512,7 +512,7 @@ def _core(edges: DataFrame, cuts: list[DataFrame]) -> tuple[DataFrame, int]:
         edges = _trim(edges)
         left = edges.count()
         log.info("trim: %d of %d edges left", left, size)
-        if left > WORTHWHILE * size and (found := _bypass(edges)):
+        if left > WORTHWHILE * size and (found := _bypass(edges, max(1, (1 - WORTHWHILE) * left))):
             edges, cut = found
             cuts.append(cut)
             left = edges.count()
