@@ -16,20 +16,28 @@ points of unrelated texts of one length lie close.  So each tree covers the
 documents that share a *signature* hash, taken by a rule that no linked pair
 escapes:
 
-* A document signs with its smallest hashes.  All but d = n - ceil(0.8 n) of
-  A's n hashes are shared with a linked B; while the first common hash is not
-  among A's first k, those k all belong to the at most d others.  With k = d +
-  1 that is impossible, and with the k of ``signature_size`` its chance is
-  below 1e-22 per pair - less than that of two different 5-grams having one
+* All documents' shingles stand in one order: rare before frequent, then by
+  hash.  A document signs with its first k.  All but d = n - ceil(0.8 n) of A's
+  n hashes are shared with a linked B; while the first common hash is not among
+  A's first k, those k all belong to the at most d others.  With k = d + 1 that
+  is impossible.  Of the r rare ones at least r - d are shared, and among
+  themselves they stand by hash, so with the k of ``signature_size`` the chance
+  is below 1e-22 per pair - less than that of two different 5-grams having one
   64-bit hash.  A document signs with the smaller of the two numbers.
+* Frequent are the at most ``FREQUENT_KNOWN`` shingles that most documents hold
+  among the smallest hashes they might sign with, if ``FREQUENT_ROWS`` do.  Any
+  such list keeps the rule, since only the order depends on it; a good one keeps
+  passages that many documents share out of the signatures.
 * Documents with equal sets are one class, represented by its smallest id.
 
-Links are looked for in two rounds.  First every representative is compared
-with the smallest one of each signature it shares (a star, linear in the
-signatures).  The components of these links then leave few signatures with
-more than one component; only there trees are built, and only pairs of
-different components compared.  No pair inside a component is lost that would
-change it, and no group of near copies is expanded into all its pairs.
+Links are looked for between components.  Every representative is compared with
+one leader of each signature it shares (a star, linear in the signatures): the
+smallest one first, then others by a hashed order, as long as that finds a
+twentieth of all links so far and ``STARS`` times at most.  Few signatures then hold more than one
+component; only there trees are built, and only pairs of different components
+compared: one pair of every two components first, the rest where these are still
+apart.  No pair is lost that would change a component, and no group of near
+copies is expanded into all its pairs.
 
 A pair is reported by the tree of the smallest signature that it shares, so
 the many trees that hold it write it out once.
@@ -50,6 +58,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +74,15 @@ GROUPS = 64
 #: chance per linked pair that it shares no signature
 MISS = 1e-22
 TREE_ROWS = 2048
+#: pairs of a cell that one task verifies
+CELL_PAIRS = 2048
+#: smaller shared signatures that a row of a tree carries
+LOWER = 64
+#: rounds of stars before the trees
+STARS = 3
+#: bound of the broadcast list of frequent shingles, 8 bytes each
+FREQUENT_KNOWN = 1 << 17
+FREQUENT_ROWS = 16
 #: of whole sets, 8 bytes a shingle
 BLOCK_BYTES = 32 << 20
 LEAF = 16
@@ -107,32 +125,61 @@ def shingle_set(text: str, hashes: WordHashes) -> np.ndarray:
     return np.unique(h)
 
 
-def signature_size(n: int) -> int:
-    """How many of its n hashes, smallest first, a document signs with."""
+def signature_size(n: int, rare: int) -> int:
+    """How many of its n hashes, ``rare`` of them not frequent, a document signs with."""
     others = n - -(-80 * n // 100)
-    if others == 0:
-        return 1
-    return min(others + 1, math.ceil(math.log(MISS) / math.log(others / n)))
+    if others == 0 or rare <= others:
+        return others + 1
+    return min(others + 1, math.ceil(math.log(MISS) / math.log(others / rare)))
+
+
+def signature(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The first of the set's sorted hashes, rare before frequent."""
+    if not len(s):
+        return s
+    known = np.zeros(len(s), bool)
+    if len(frequent):
+        known = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
+    rare = s[~known]
+    return np.concatenate([rare, s[known]])[:signature_size(len(s), len(rare))]
+
+
+def frequent_shingles(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """Sorted hashes of the most frequent shingles among twice the smallest ones of every text."""
+    def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in stream:
+            found = [np.empty(0, np.uint64)]
+            for text in batch.column(0).to_pylist():
+                s = shingle_set(text, hashes)
+                found.append(s[:2 * signature_size(len(s), len(s))] if len(s) else s)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["hash"])
+
+    counts = (docs.select(text_or_empty(text_col)).mapInArrow(batches, "hash bigint")
+              .groupBy("hash").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= FREQUENT_ROWS))
+    top = counts.orderBy(F.desc("rows"), "hash").limit(FREQUENT_KNOWN).select("hash").toPandas()["hash"]
+    return np.sort(top.to_numpy(np.int64).view(np.uint64))
 
 
 def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, digest, signature, counts`` of every whole text."""
     id_type = docs.schema[id_col].dataType.simpleString()
+    known = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, text_col))
 
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, frequent = WordHashes(), known.value
         for batch in stream:
-            n, digest, signature, counts = [], [], [], []
+            n, digest, signed, counts = [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, hashes)
                 n.append(len(s))
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                signature.append(s[:signature_size(len(s))].view(np.int64) if len(s) else s.view(np.int64))
+                signed.append(signature(s, frequent).view(np.int64))
                 counts.append(np.bincount((s % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
                               .astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(signature, pa.list_(pa.int64())), pa.array(counts, pa.binary())],
+                 pa.array(signed, pa.list_(pa.int64())), pa.array(counts, pa.binary())],
                 names=["doc_id", "n_shingles", "digest", "signature", "counts"])
 
     return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col)).mapInArrow(
@@ -235,6 +282,7 @@ def _small_groups(group: np.ndarray, points: np.ndarray) -> Iterator[tuple[np.nd
 # -- links ---------------------------------------------------------------------
 
 CELL = ["cell", "left", "right"]
+PART = [*CELL, "part"]
 
 
 def bounded(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -257,12 +305,17 @@ def bounded(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs ``a, b`` that link, by their whole sets.
 
-    Only the sets of documents in ``pairs`` are built.  A set goes once to
-    each cell that has a pair of its document, not once for each pair; a cell
-    holds about twice ``BLOCK_BYTES`` of sets.
+    Only the sets of documents in ``pairs`` are built.  A cell holds about
+    twice ``BLOCK_BYTES`` of sets; its pairs are dealt out by ``a``, about
+    ``CELL_PAIRS`` a part, and a set goes once to each part that has a pair of
+    its document.
     """
-    near = materialise(pairs, "near")
-    members = near.select(*CELL, F.col("a").alias("id")).union(near.select(*CELL, "b")).distinct()
+    known = materialise(pairs, "near")
+    if known.isEmpty():
+        return known.select("a", "b")
+    parts = known.groupBy(*CELL).agg(F.ceil(F.count(F.lit(1)) / CELL_PAIRS).alias("parts"))
+    near = known.join(parts, CELL).select("a", "b", *CELL, F.pmod(F.xxhash64("a"), "parts").cast("int").alias("part"))
+    members = near.select(*PART, F.col("a").alias("id")).union(near.select(*PART, "b")).distinct()
     needed = materialise(members.select("id").distinct(), "needed")
     named = docs.select(F.col("doc_id").alias("id"), text_or_empty().alias("text"))
     # most texts fall at a filter of at most FILTER_SLOTS hash values, before the shuffle by id
@@ -271,8 +324,8 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     some = named.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
     whole = whole_sets(some.join(needed, "id", "left_semi").dropDuplicates(["id"]), "id", "text")
     id_type = near.schema["a"].dataType.simpleString()
-    rows = (members.join(whole, "id").select(*CELL, F.lit(False).alias("pair"), "id", F.lit(None).cast(id_type).alias("b"), "shingles")
-            .unionByName(near.select(*CELL, F.lit(True).alias("pair"), F.col("a").alias("id"), "b",
+    rows = (members.join(whole, "id").select(*PART, F.lit(False).alias("pair"), "id", F.lit(None).cast(id_type).alias("b"), "shingles")
+            .unionByName(near.select(*PART, F.lit(True).alias("pair"), F.col("a").alias("id"), "b",
                                      F.lit(None).cast("binary").alias("shingles"))))
 
     def links(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,8 +333,8 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         at, held = None, {}
         for batch in stream:
             out: list[tuple] = []
-            cells = zip(*(batch.column(i).to_pylist() for i in range(3)))
-            rows = zip(cells, *(batch.column(i).to_pylist() for i in (3, 4, 5)), batch.column(6))
+            cells = zip(*(batch.column(i).to_pylist() for i in range(4)))
+            rows = zip(cells, *(batch.column(i).to_pylist() for i in (4, 5, 6)), batch.column(7))
             for cell, pair, a, b, shingles in rows:
                 if cell != at:
                     at, held = cell, {}
@@ -293,18 +346,23 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 if reaches(int((y[near] == x).sum()), len(x) + len(y)):
                     out.append((a, b))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for x in out], batch.schema.field(4).type) for i in (0, 1)], names=["a", "b"])
+                [pa.array([x[i] for x in out], batch.schema.field(5).type) for i in (0, 1)], names=["a", "b"])
 
-    return (rows.repartition(*CELL).sortWithinPartitions(*CELL, "pair")
+    return (rows.repartition(*PART).sortWithinPartitions(*PART, "pair")
             .mapInArrow(links, f"a {id_type}, b {id_type}"))
 
 
-def star_pairs(signatures: DataFrame) -> DataFrame:
-    """Each representative with the smallest one of every signature it shares;
-    a cell is a part of what hangs under one of these."""
-    leaders = (signatures.groupBy("hash").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("rows"))
-               .where("rows > 1").drop("rows"))
-    pairs = materialise(signatures.join(leaders, "hash").where("id > a")
+def star_pairs(signatures: DataFrame, turn: int) -> DataFrame:
+    """Each representative with one leader of every signature it shares, if that
+    is of another component; a cell is a part of what hangs under a leader.
+
+    The leader is the smallest id in the first turn, and the first by a hash after it."""
+    order = F.struct("id", "component") if turn == 0 else F.struct(
+        F.xxhash64(F.lit(turn), "id").alias("by"), "id", "component")
+    leaders = (signatures.groupBy("hash").agg(F.min(order).alias("first"), F.min("component").alias("low"),
+                                              F.max("component").alias("high"))
+               .where("low < high").select("hash", F.col("first.id").alias("a"), F.col("first.component").alias("of")))
+    pairs = materialise(signatures.join(leaders, "hash").where("component != of")
                         .groupBy("a", F.col("id").alias("b")).agg(F.min("n").alias("n")), "star-pairs")
     parts = pairs.groupBy("a").agg(_blocks(F.sum("n"), F.count(F.lit(1))).alias("blocks"))
     return pairs.join(parts, "a").select("a", "b", F.col("a").cast("string").alias("cell"), F.lit(0).alias("left"),
@@ -317,19 +375,18 @@ def _blocks(shingles: Column, rows: Column) -> Column:
     return F.ceil(F.greatest(rows / TREE_ROWS, shingles * 8 / BLOCK_BYTES)).cast("int")
 
 
-def cross_pairs(signatures: DataFrame, reps: DataFrame, component: DataFrame) -> DataFrame:
+def cross_pairs(known: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs of different components that share a signature and whose bound
     reaches the threshold, by tree joins."""
-    known = signatures.join(component, "id", "left").select(
-        "hash", "id", "n", F.coalesce("component", "id").alias("component"))
     mixed = (known.groupBy("hash").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                        _blocks(F.sum("n"), F.count(F.lit(1))).alias("blocks"))
              .where("low < high").select("hash", "blocks"))
     rows = known.join(mixed, "hash")
-    # at most signature_size hashes each
+    # at most signature_size hashes each; a pair that shares only others below its
+    # hash comes more than once
     shared = rows.groupBy("id").agg(F.collect_list("hash").alias("shared"))
     rows = (rows.join(reps.select("id", "counts").join(shared, "id"), "id")
-            .withColumn("lower", F.filter("shared", lambda x: x < F.col("hash"))))
+            .withColumn("lower", F.slice(F.array_sort(F.filter("shared", lambda x: x < F.col("hash"))), 1, LOWER)))
     # block i meets blocks i.. as the left side and blocks ..i as the right one
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
@@ -392,6 +449,37 @@ def cross_pairs(signatures: DataFrame, reps: DataFrame, component: DataFrame) ->
             .select("a", "b", F.col("m.hash").cast("string").alias("cell"), "m.left", "m.right"))
 
 
+def with_components(signatures: DataFrame, component: DataFrame | None) -> DataFrame:
+    """``hash, id, n, component``; without links everything is its own component."""
+    if component is None:
+        return signatures.withColumn("component", F.col("id"))
+    return signatures.join(component, "id", "left").select(
+        "hash", "id", "n", F.coalesce("component", "id").alias("component"))
+
+
+def apart_pairs(pairs: DataFrame, component: DataFrame) -> DataFrame:
+    """The pairs of two components, with these (``low, high``)."""
+    of_a, of_b = (component.select(F.col("id").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
+    both = (pairs.join(of_a, "a", "left").join(of_b, "b", "left")
+            .withColumn("of_a", F.coalesce("of_a", "a")).withColumn("of_b", F.coalesce("of_b", "b")))
+    return both.where("of_a != of_b").select(
+        *pairs.columns, F.least("of_a", "of_b").alias("low"), F.greatest("of_a", "of_b").alias("high"))
+
+
+def joined(component: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components after some more links: those that the links touch are merged."""
+    if component is None:
+        return materialise(components(links), "component")
+    if links.isEmpty():
+        return component
+    roots = components(apart_pairs(links, component).select(F.col("low").alias("a"), F.col("high").alias("b")))
+    ends = links.select(F.explode(F.array("a", "b")).alias("id")).select("id", F.col("id").alias("component"))
+    known = component.unionByName(ends).groupBy("id").agg(F.min("component").alias("was"))
+    roots = roots.withColumnRenamed("id", "was")
+    return materialise(known.join(roots, "was", "left").select(
+        "id", F.coalesce("component", "was").alias("component")), "component")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id``: one row per input row."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -402,10 +490,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.first("counts").alias("counts")), "classes")
     reps = classes.select("id", "counts")
     signatures = materialise(classes.select("id", F.col("n").cast("int").alias("n"), F.explode("signature").alias("hash")), "signatures")
-    star = materialise(verified(bounded(star_pairs(signatures), reps), docs), "star")
-    first = materialise(components(star), "first")
-    cross = materialise(verified(cross_pairs(signatures, reps, first), docs), "cross")
-    final = components(star.unionByName(cross))
+    component, links = None, 0
+    for turn in range(STARS):
+        pairs = star_pairs(with_components(signatures, component), turn)
+        star = materialise(verified(bounded(pairs, reps), docs), "star")
+        component = joined(component, star)
+        new = star.count()
+        links += new
+        if 20 * new < links:
+            break
+    cross = materialise(cross_pairs(with_components(signatures, component), reps), "cross")
+    first = materialise(apart_pairs(cross, component).groupBy("low", "high").agg(
+        F.min(F.struct("a", "b", *CELL)).alias("m")).select("m.*"), "first")
+    component = joined(component, materialise(verified(first, docs), "links"))
+    rest = apart_pairs(cross, component).drop("low", "high").join(first.select("a", "b"), ["a", "b"], "left_anti")
+    final = joined(component, materialise(verified(rest, docs), "links"))
     of_class = classes.select("digest", "id").join(final, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component"))
     return (all_sets.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
