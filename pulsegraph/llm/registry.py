@@ -40,7 +40,7 @@ WINDOW same AS (PARTITION BY t)
 
 
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir))
+    return mixing.mix(documents(spark, sf_dir)).drop("places")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,11 +128,11 @@ def test_mixing(spark, sf):
     assert mixing.mixed_documents(table(spark)).columns == table(spark).columns
 
 
-@pytest.mark.parametrize("slots", [7, 100])
-def test_mixing_gives_small_sources_their_target(spark, slots):
+@pytest.mark.parametrize("block", [1, 7, 500])
+def test_mixing_gives_small_sources_their_target(spark, block):
     rows = [(i, "w " * (i % 90 + 1), "en", "big" if i % 3 else "large") for i in range(400)]
     rows += [(1000 + i, "w " * (i % 5 + 1), "en", f"small{i % 9}") for i in range(30)]
-    rows = mixing.mix(table(spark, rows), slots=slots).collect()
+    rows = mixing.mix(table(spark, rows), block=block).collect()
     taken, target = {}, {}
     for r in rows:
         taken[r.source], target[r.source] = taken.get(r.source, 0) + r.taken, r.target
@@ -141,6 +141,28 @@ def test_mixing_gives_small_sources_their_target(spark, slots):
     assert all(abs(taken[s] - target[s]) <= 0.5 + 1e-6 for s in taken)
 
 
+def test_mixing_follows_its_schedule(spark):
+    """Every prefix holds the target proportions within six blocks, and other points give another mix."""
+    rows = [(i, "w " * (i % 40 + 1), "en", "abcd"[i % 7 % 4]) for i in range(700)]
+    block = 10
+    mixed = mixing.mix(table(spark, rows), block=block).collect()
+    total = sum(r.taken for r in mixed)
+    target = {r.source: r.target for r in mixed}
+    assert all(r.n_slots > 0 and r.places[0] == r.mix_start for r in mixed if r.taken)
+    # a document is short against a prefix, so its words count where it begins
+    passes = sorted((at, r.size, r.source) for r in mixed for at in r.places or [])
+    for cut in range(total // 8, total, total // 8):
+        for s in target:
+            here = sum(min(size, cut - at) for at, size, source in passes if source == s and at < cut)
+            assert abs(here - cut * target[s] / total) <= 6 * block + 40, (cut, s)
+    other = mixing.mix(table(spark, rows), block=block, step=0.25).collect()
+    assert {r.doc_id: r.mix_start for r in other} != {r.doc_id: r.mix_start for r in mixed}
+    ids = [r.doc_id for r in mixing.mixed_documents(table(spark, rows)).collect()]
+    places = [(at, r.doc_id) for r in mixing.mix(table(spark, rows)).collect() if r.taken
+              for at in r.places[:int(r.taken / r.size + 0.5)]]
+    assert ids == [i for _, i in sorted(places)]
+
+
 def test_simhash(spark):
     rows = sorted(texts().items())
     got = by_id(simhash.edited_fingerprints(table(spark)))
