@@ -7,6 +7,7 @@ dictionary at all.  The best few are confirmed by wording: block and template
 are aligned word by word, the longest chains of equal words give the matched
 part, and the words in between are the differences.  A block is reported for
 the confirmed template with the fewest differences, then the largest saving.
+Differences that hold a word of ``TELLING`` refute a template.
 
 Templates are notices and grants that anyone meets in public sources; callers
 may pass their own.  Texts are scanned whole, as a map over Arrow batches with
@@ -95,6 +96,8 @@ MARKER = re.compile(r"(?i)licen[sc]|copyright|permission|redistribut|warrant|pub
 _BLOCK = re.compile(r"[^\n]+?(?:(?<=[.!?])(?=\s)|(?=\n)|\Z)")
 _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
 BLOCK_CHARS = 2000
+#: fixed wording that tells licenses of one family apart: where it differs, it is another license
+TELLING = re.compile(r"affero|lesser|non-?commercial|share-?alike|noderiv")
 LEVEL = 9
 
 
@@ -152,7 +155,7 @@ class Scanner:
         for saving, name in self.savings(block)[:limits.ranked]:
             if saving >= limits.least_saving:
                 equal, diff, text = self.differences(words, name)
-                if equal >= limits.least_words and diff <= limits.most_differences * len(words):
+                if equal >= limits.least_words and not TELLING.search(text) and diff <= limits.most_differences * len(words):
                     found.append((diff, -saving, name, text))
         if not found:
             return None

@@ -364,6 +364,15 @@ def test_licenses(spark):
     assert rows[0][1][start:end] == "Released under the MIT License."
 
 
+@pytest.mark.parametrize("text, name", [
+    ("This program is licensed under the GNU Affero General Public License, version 3.", ""),
+    ("This work is licensed under the GNU Lesser General Public License, version 2.", ""),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0")])
+def test_licenses_of_a_family(text, name):
+    assert ",".join(x[2] for x in licenses.Scanner(licenses.TEMPLATES).scan(text)) == name
+
+
 @pytest.mark.parametrize("html, text", [
     ("", ""), ("<p>a<p>b &amp; c", "a\n\nb & c"), ("x<br>y", "x\ny"),
     ("<ul><li>a<li>b<ol><li>c<li>d</ol></ul>", "- a\n- b\n  1. c\n  2. d"),
