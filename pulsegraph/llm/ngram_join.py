@@ -9,7 +9,9 @@ point of its group counts.  The sum of coordinate minima of two points bounds
 the overlap of their sets from above, and that of two boxes' upper corners
 bounds it for all points in them; so an R-tree over the points is joined with
 itself, and only pairs whose bound reaches the threshold are verified, with
-the whole sets.
+the whole sets.  Between ``GROUPS`` groups long texts all look alike, so a pair
+is first held against the same bound on fine vectors, of up to ``FINE`` hashes a
+group, however long the texts, which take a sixteenth of a long text's set or less.
 
 Distribution: a tree over all documents would meet most of itself, since
 points of unrelated texts of one length lie close.  So each tree covers the
@@ -62,7 +64,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,34 +89,42 @@ BLOCK_BYTES = 32 << 20
 LEAF = 16
 #: bound of the broadcast that filters texts before their sets are built
 FILTER_SLOTS = 1 << 20
-#: word hashes that a task remembers
-CACHE_WORDS = 500_000
+#: shingles a group of the fine count vectors
+FINE = 4
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 # -- sets ---------------------------------------------------------------------
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
 
 
-def shingle_set(text: str, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's word 5-grams.
+#: by byte: no white space; by place in the word (below 64) and byte: what it adds to the word's hash
+_INSIDE = np.array([chr(b) not in " \t\n\v\f\r" for b in range(256)])
+_PLACED = _mix(np.arange(1, (64 << 8) + 1, dtype=np.uint64))
 
-    ``bytes`` lowers A-Z only and splits at the six ASCII white-space bytes.
-    """
-    words = text.encode("utf-8", "replace").lower().split()
-    w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+
+def word_hashes(text: str) -> np.ndarray:
+    """64-bit hashes of the text's words in order, each the sum over its bytes of
+    a hash of place and byte.  ``bytes`` lowers A-Z only."""
+    raw = np.frombuffer(text.encode("utf-8", "replace").lower(), np.uint8)
+    inside = _INSIDE[raw]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    if not len(edges):
+        return np.empty(0, np.uint64)
+    lengths = edges[1::2] - edges[::2]
+    first = np.cumsum(lengths) - lengths
+    placed = (np.arange(lengths.sum()) - np.repeat(first, lengths) << 8) + raw[inside]
+    values = _PLACED[placed] if lengths.max() <= 64 else _mix(placed.astype(np.uint64) + np.uint64(1))
+    return np.add.reduceat(values, first)
+
+
+def shingle_set(text: str) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the text's word 5-grams."""
+    w = word_hashes(text)
     if len(w) == 0:
         return w
     n = min(N, len(w))
@@ -147,11 +156,10 @@ def signature(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 def frequent_shingles(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Sorted hashes of the most frequent shingles among twice the smallest ones of every text."""
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in stream:
             found = [np.empty(0, np.uint64)]
             for text in batch.column(0).to_pylist():
-                s = shingle_set(text, hashes)
+                s = shingle_set(text)
                 found.append(s[:2 * signature_size(len(s), len(s))] if len(s) else s)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["hash"])
 
@@ -162,42 +170,49 @@ def frequent_shingles(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 
 def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, digest, signature, counts`` of every whole text."""
+    """``doc_id, n_shingles, digest, signature, counts, fine`` of every whole text."""
     id_type = docs.schema[id_col].dataType.simpleString()
     known = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, text_col))
 
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, frequent = WordHashes(), known.value
+        frequent = known.value
         for batch in stream:
-            n, digest, signed, counts = [], [], [], []
+            n, digest, signed, counts, fine = [], [], [], [], []
             for text in batch.column(1).to_pylist():
-                s = shingle_set(text, hashes)
+                s = shingle_set(text)
                 n.append(len(s))
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 signed.append(signature(s, frequent).view(np.int64))
                 counts.append(np.bincount((s % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
                               .astype("<u4").tobytes())
+                fine.append(fine_counts(s))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(signed, pa.list_(pa.int64())), pa.array(counts, pa.binary())],
-                names=["doc_id", "n_shingles", "digest", "signature", "counts"])
+                 pa.array(signed, pa.list_(pa.int64())), pa.array(counts, pa.binary()), pa.array(fine, pa.binary())],
+                names=["doc_id", "n_shingles", "digest", "signature", "counts", "fine"])
 
     return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col)).mapInArrow(
-        batches, f"doc_id {id_type}, n_shingles bigint, digest binary, signature array<bigint>, counts binary")
+        batches, f"doc_id {id_type}, n_shingles bigint, digest binary, signature array<bigint>, counts binary, fine binary")
 
 
-def whole_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, shingles``: the packed set of every text."""
-    id_type = docs.schema[id_col].dataType.simpleString()
+def with_sets(rows: DataFrame) -> DataFrame:
+    """``rows`` with the packed set of ``text``, their last column, as ``shingles`` in its place.
+
+    Rows of one text stand together after a join, so its set is built once."""
+    kept = [c for c in rows.columns if c != "text"]
 
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        at, packed = None, b""
         for batch in stream:
-            packed = [shingle_set(t, hashes).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["id", "shingles"])
+            out = []
+            for text in batch.column(len(kept)):
+                if (text := text.as_py()) != at:
+                    at, packed = text, shingle_set(text).tobytes()
+                out.append(packed)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.binary())], names=[*kept, "shingles"])
 
-    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col)).mapInArrow(
-        batches, f"id {id_type}, shingles binary")
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
+    return rows.select(*kept, "text").mapInArrow(batches, f"{schema}, shingles binary")
 
 
 # -- bounds and the tree -------------------------------------------------------
@@ -207,6 +222,27 @@ def reaches(overlap: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return 180 * overlap >= 80 * sizes
 
 
+def fine_counts(s: np.ndarray) -> bytes:
+    """Counts of the set's hashes in as many groups as leave at most ``FINE`` a group, one byte
+    each; empty, which bounds nothing, where a count needs more."""
+    groups = GROUPS
+    while groups * FINE < len(s):
+        groups *= 2
+    counts = np.bincount((s % np.uint64(groups)).astype(np.int64), minlength=groups)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
+def may_link(x: bytes, y: bytes) -> bool:
+    """Whether two sets of these fine counts may reach the threshold.
+
+    Numbers of groups are powers of two times ``GROUPS``, so the larger one folds onto the smaller."""
+    if not x or not y:
+        return True
+    groups = min(len(x), len(y))
+    p, q = (np.frombuffer(v, np.uint8).reshape(-1, groups).sum(axis=0, dtype=np.int64) for v in (x, y))
+    return bool(reaches(int(np.minimum(p, q).sum()), int(p.sum() + q.sum())))
+
+
 class Tree:
     """A packed R-tree: leaves of ``LEAF`` points, each level grouping as many boxes below."""
 
@@ -286,19 +322,16 @@ PART = [*CELL, "part"]
 
 
 def bounded(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose count vectors reach the threshold, with their cells."""
+    """The pairs ``a, b`` whose fine count vectors reach the threshold, with their cells."""
     def bound(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, GROUPS) for i in (5, 6))
-                i = np.arange(len(a))
-                keep = pa.array(_bounded((a, a), i, (b, b), i))
-                yield batch.select(range(5)).filter(keep)
+            keep = [may_link(x.as_py(), y.as_py()) for x, y in zip(batch.column(5), batch.column(6))]
+            yield batch.select(range(5)).filter(pa.array(keep, pa.bool_()))
 
-    vectors = reps.select("id", "counts")
+    vectors = reps.select("id", "fine")
     schema = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in ("a", "b", *CELL))
-    return (pairs.join(vectors.withColumnRenamed("id", "a").withColumnRenamed("counts", "x"), "a")
-            .join(vectors.withColumnRenamed("id", "b").withColumnRenamed("counts", "y"), "b")
+    return (pairs.join(vectors.withColumnRenamed("id", "a").withColumnRenamed("fine", "x"), "a")
+            .join(vectors.withColumnRenamed("id", "b").withColumnRenamed("fine", "y"), "b")
             .select("a", "b", *CELL, "x", "y").mapInArrow(bound, schema))
 
 
@@ -322,9 +355,10 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_SLOTS))
     slots = needed.select(slot.alias("slot")).distinct()
     some = named.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
-    whole = whole_sets(some.join(needed, "id", "left_semi").dropDuplicates(["id"]), "id", "text")
+    # the texts move once, by id; their sets are built beside the list of parts they go to
+    whole = some.join(needed, "id", "left_semi").dropDuplicates(["id"])
     id_type = near.schema["a"].dataType.simpleString()
-    rows = (members.join(whole, "id").select(*PART, F.lit(False).alias("pair"), "id", F.lit(None).cast(id_type).alias("b"), "shingles")
+    rows = (with_sets(members.join(whole, "id").select(*PART, "id", "text")).select(*PART, F.lit(False).alias("pair"), "id", F.lit(None).cast(id_type).alias("b"), "shingles")
             .unionByName(near.select(*PART, F.lit(True).alias("pair"), F.col("a").alias("id"), "b",
                                      F.lit(None).cast("binary").alias("shingles"))))
 
@@ -354,15 +388,17 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def star_pairs(signatures: DataFrame, turn: int) -> DataFrame:
     """Each representative with one leader of every signature it shares, if that
-    is of another component; a cell is a part of what hangs under a leader.
+    is of another component and of a size that may link; a cell is a part of what hangs under a leader.
 
     The leader is the smallest id in the first turn, and the first by a hash after it."""
-    order = F.struct("id", "component") if turn == 0 else F.struct(
-        F.xxhash64(F.lit(turn), "id").alias("by"), "id", "component")
+    order = F.struct("id", "component", "n") if turn == 0 else F.struct(
+        F.xxhash64(F.lit(turn), "id").alias("by"), "id", "component", "n")
     leaders = (signatures.groupBy("hash").agg(F.min(order).alias("first"), F.min("component").alias("low"),
                                               F.max("component").alias("high"))
-               .where("low < high").select("hash", F.col("first.id").alias("a"), F.col("first.component").alias("of")))
-    pairs = materialise(signatures.join(leaders, "hash").where("component != of")
+               .where("low < high").select("hash", F.col("first.id").alias("a"), F.col("first.component").alias("of"),
+                                             F.col("first.n").alias("of_n")))
+    alike = 100 * F.least("n", "of_n").cast("long") >= 80 * F.greatest("n", "of_n").cast("long")
+    pairs = materialise(signatures.join(leaders, "hash").where("component != of").where(alike)
                         .groupBy("a", F.col("id").alias("b")).agg(F.min("n").alias("n")), "star-pairs")
     parts = pairs.groupBy("a").agg(_blocks(F.sum("n"), F.count(F.lit(1))).alias("blocks"))
     return pairs.join(parts, "a").select("a", "b", F.col("a").cast("string").alias("cell"), F.lit(0).alias("left"),
@@ -487,8 +523,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     some = all_sets.where("n_shingles > 0 and doc_id is not null")
     classes = materialise(some.groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"),
-        F.first("counts").alias("counts")), "classes")
-    reps = classes.select("id", "counts")
+        F.first("counts").alias("counts"), F.first("fine").alias("fine")), "classes")
+    reps = classes.select("id", "counts", "fine")
     signatures = materialise(classes.select("id", F.col("n").cast("int").alias("n"), F.explode("signature").alias("hash")), "signatures")
     component, links = None, 0
     for turn in range(STARS):
@@ -499,7 +535,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links += new
         if 20 * new < links:
             break
-    cross = materialise(cross_pairs(with_components(signatures, component), reps), "cross")
+    cross = materialise(bounded(cross_pairs(with_components(signatures, component), reps), reps), "cross")
     first = materialise(apart_pairs(cross, component).groupBy("low", "high").agg(
         F.min(F.struct("a", "b", *CELL)).alias("m")).select("m.*"), "first")
     component = joined(component, materialise(verified(first, docs), "links"))

@@ -238,6 +238,35 @@ def test_ngram_join_is_exact(spark, monkeypatch, tree_rows):
     assert got == brute_components(rows)
 
 
+def test_word_hashes_tell_words_apart():
+    long = "x" * 70
+    texts = ["a ab b\x0bA\t\u00c4 \u00e4 a\u00a0b", f"{long} {long}y {long.upper()}", "", " \n\r\f", "\x00 \x00\x00 z\x1cz"]
+    seen = {}
+    for text in texts:
+        words = text.encode().lower().split()
+        hashes = ngram_join.word_hashes(text).tolist()
+        assert len(hashes) == len(words)
+        for word, h in zip(words, hashes):
+            assert seen.setdefault(h, word) == word
+
+
+def test_fine_bound_loses_no_pair():
+    rng = np.random.default_rng(5)
+    kept = 0
+    for n in (1, 3, 60, 255, 256, 257, 1030, 5000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for share in (1.0, 0.95, 0.9, 0.5, 0.0):
+            own = rng.integers(0, 2**63, max(1, round(len(a) * (1 - share)))).astype(np.uint64)
+            b = np.unique(np.r_[a[:round(len(a) * share)], own])
+            same = len(np.intersect1d(a, b))
+            may = ngram_join.may_link(ngram_join.fine_counts(a), ngram_join.fine_counts(b))
+            assert may or 100 * same < 80 * (len(a) + len(b) - same)
+            kept += may and share < 0.6
+    assert kept <= 2
+    hot = np.arange(300, dtype=np.uint64) << np.uint64(20)
+    assert ngram_join.fine_counts(hot) == b"" and ngram_join.may_link(b"", ngram_join.fine_counts(a))
+
+
 def test_ngram_join_on_the_smallest_table(spark, sf):
     docs = registry.documents(spark, sf)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
