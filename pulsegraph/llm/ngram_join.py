@@ -150,7 +150,8 @@ def signature(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     if len(frequent):
         known = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
     rare = s[~known]
-    return np.concatenate([rare, s[known]])[:signature_size(len(s), len(rare))]
+    k = signature_size(len(s), len(rare))
+    return np.concatenate([rare[:k], s[known][:max(k - len(rare), 0)]])
 
 
 def frequent_shingles(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -158,9 +159,10 @@ def frequent_shingles(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             found = [np.empty(0, np.uint64)]
-            for text in batch.column(0).to_pylist():
-                s = shingle_set(text)
-                found.append(s[:2 * signature_size(len(s), len(s))] if len(s) else s)
+            for text in batch.column(0):
+                s = shingle_set(text.as_py())
+                # a copy, as a view would keep the whole set
+                found.append(s[:2 * signature_size(len(s), len(s))].copy() if len(s) else s)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["hash"])
 
     counts = (docs.select(text_or_empty(text_col)).mapInArrow(batches, "hash bigint")
@@ -178,8 +180,8 @@ def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         frequent = known.value
         for batch in stream:
             n, digest, signed, counts, fine = [], [], [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingle_set(text)
+            for text in batch.column(1):
+                s = shingle_set(text.as_py())
                 n.append(len(s))
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 signed.append(signature(s, frequent).view(np.int64))
@@ -261,11 +263,11 @@ class Tree:
 def _bounded(a: tuple, i: np.ndarray, b: tuple, j: np.ndarray) -> np.ndarray:
     """Which pairs of boxes may hold a pair of points that reaches the threshold."""
     out = np.empty(len(i), bool)
-    for s in range(0, len(i), 1 << 16):
-        p, q = i[s:s + (1 << 16)], j[s:s + (1 << 16)]
+    for s in range(0, len(i), 1 << 13):
+        p, q = i[s:s + (1 << 13)], j[s:s + (1 << 13)]
         overlap = np.minimum(a[1][p], b[1][q]).sum(axis=1, dtype=np.int64)
         sizes = a[0][p].sum(axis=1, dtype=np.int64) + b[0][q].sum(axis=1, dtype=np.int64)
-        out[s:s + (1 << 16)] = reaches(overlap, sizes)
+        out[s:s + (1 << 13)] = reaches(overlap, sizes)
     return out
 
 
@@ -440,7 +442,24 @@ def cross_pairs(known: DataFrame, reps: DataFrame) -> DataFrame:
         starts = np.r_[np.flatnonzero(new), len(h)]
         sizes = np.diff(starts)
         small = np.flatnonzero(sizes[group] <= LEAF)
-        found = [(small[i], small[j]) for i, j in _small_groups(group[small], points[small])]
+        lists, lower = table.column("lower").combine_chunks(), {}
+        found = []
+
+        def lower_of(x: int) -> frozenset:
+            if x not in lower:
+                lower[x] = frozenset(lists[x].as_py())
+            return lower[x]
+
+        def report(i: np.ndarray, j: np.ndarray) -> None:
+            """Most pairs of a hot group lie in one component; none of those is kept."""
+            keep = comp[i] != comp[j]
+            i, j = i[keep], j[keep]
+            first = np.fromiter((lower_of(x).isdisjoint(lower_of(y)) for x, y in zip(i.tolist(), j.tolist())), bool, len(i))
+            found.append((i[first], j[first]))
+
+        # small groups of two blocks hold pairs of one block too; those come again from its own
+        for i, j in _small_groups(group[small], points[small]):
+            report(small[i], small[j])
         for g in np.flatnonzero(sizes > LEAF):
             rows = np.arange(starts[g], starts[g + 1])
             if left[rows[0]] == right[rows[0]]:
@@ -448,15 +467,10 @@ def cross_pairs(known: DataFrame, reps: DataFrame) -> DataFrame:
             else:
                 sides = rows[own[rows] == left[rows]], rows[own[rows] == right[rows]]
             trees = [Tree(points[s]) for s in sides]
-            found += [(sides[0][i], sides[1][j]) for i, j in tree_join(*trees)]
+            for i, j in tree_join(*trees):
+                report(sides[0][i], sides[1][j])
         i = np.concatenate([np.empty(0, np.int64), *(f[0] for f in found)])
         j = np.concatenate([np.empty(0, np.int64), *(f[1] for f in found)])
-        keep = comp[i] != comp[j]
-        # small groups of two blocks hold pairs of one block too; those come again from its own
-        i, j = i[keep], j[keep]
-        lower = dict(zip((at := np.unique(np.r_[i, j])).tolist(), map(frozenset, table.column("lower").take(pa.array(at)).to_pylist())))
-        first = np.fromiter((lower[x].isdisjoint(lower[y]) for x, y in zip(i.tolist(), j.tolist())), bool, len(i))
-        i, j = i[first], j[first]
         return pa.table({"a": ids.take(pa.array(i)), "b": ids.take(pa.array(j)), "hash": h[i], "left": left[i],
                          "right": right[i]})
 
