@@ -9,9 +9,11 @@ point of its group counts.  The sum of coordinate minima of two points bounds
 the overlap of their sets from above, and that of two boxes' upper corners
 bounds it for all points in them; so an R-tree over the points is joined with
 itself, and only pairs whose bound reaches the threshold are verified, with
-the whole sets.  Between ``GROUPS`` groups long texts all look alike, so a pair
-is first held against the same bound on fine vectors, of up to ``FINE`` hashes a
-group, however long the texts, which take a sixteenth of a long text's set or less.
+the whole sets.  Between ``GROUPS`` groups texts look alike that share most of
+their shingles and still do not link, so a pair is first held against the same
+bound on fine vectors, of ``FINE`` groups a hash or more, however long the texts,
+which take a quarter of a set or less.  A tree holds its own pairs against it,
+so those of a group of near copies that cannot link are never written out.
 
 Distribution: a tree over all documents would meet most of itself, since
 points of unrelated texts of one length lie close.  So each tree covers the
@@ -89,8 +91,8 @@ BLOCK_BYTES = 32 << 20
 LEAF = 16
 #: bound of the broadcast that filters texts before their sets are built
 FILTER_SLOTS = 1 << 20
-#: shingles a group of the fine count vectors
-FINE = 4
+#: groups a shingle of the fine count vectors, half a byte each
+FINE = 2
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -225,13 +227,18 @@ def reaches(overlap: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def fine_counts(s: np.ndarray) -> bytes:
-    """Counts of the set's hashes in as many groups as leave at most ``FINE`` a group, one byte
-    each; empty, which bounds nothing, where a count needs more."""
+    """Counts of the set's hashes in at least ``FINE`` groups a hash, half a byte each;
+    empty, which bounds nothing, where a count needs more."""
     groups = GROUPS
-    while groups * FINE < len(s):
+    while groups < FINE * len(s):
         groups *= 2
     counts = np.bincount((s % np.uint64(groups)).astype(np.int64), minlength=groups)
-    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+    return (counts[::2] | counts[1::2] << 4).astype(np.uint8).tobytes() if counts.max() < 16 else b""
+
+
+def _unpacked(fine: bytes) -> np.ndarray:
+    packed = np.frombuffer(fine, np.uint8)
+    return np.stack([packed & 15, packed >> 4], axis=1).ravel()
 
 
 def may_link(x: bytes, y: bytes) -> bool:
@@ -240,8 +247,9 @@ def may_link(x: bytes, y: bytes) -> bool:
     Numbers of groups are powers of two times ``GROUPS``, so the larger one folds onto the smaller."""
     if not x or not y:
         return True
-    groups = min(len(x), len(y))
-    p, q = (np.frombuffer(v, np.uint8).reshape(-1, groups).sum(axis=0, dtype=np.int64) for v in (x, y))
+    p, q = _unpacked(x), _unpacked(y)
+    groups = min(len(p), len(q))
+    p, q = (v.reshape(-1, groups).sum(axis=0, dtype=np.int64) for v in (p, q))
     return bool(reaches(int(np.minimum(p, q).sum()), int(p.sum() + q.sum())))
 
 
@@ -349,7 +357,9 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     if known.isEmpty():
         return known.select("a", "b")
     parts = known.groupBy(*CELL).agg(F.ceil(F.count(F.lit(1)) / CELL_PAIRS).alias("parts"))
-    near = known.join(parts, CELL).select("a", "b", *CELL, F.pmod(F.xxhash64("a"), "parts").cast("int").alias("part"))
+    # read five times below
+    near = materialise(known.join(parts, CELL).select(
+        "a", "b", *CELL, F.pmod(F.xxhash64("a"), "parts").cast("int").alias("part")), "near-parts")
     members = near.select(*PART, F.col("a").alias("id")).union(near.select(*PART, "b")).distinct()
     needed = materialise(members.select("id").distinct(), "needed")
     named = docs.select(F.col("doc_id").alias("id"), text_or_empty().alias("text"))
@@ -414,8 +424,8 @@ def _blocks(shingles: Column, rows: Column) -> Column:
 
 
 def cross_pairs(known: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of different components that share a signature and whose bound
-    reaches the threshold, by tree joins."""
+    """Pairs of different components that share a signature and whose bounds
+    reach the threshold, by tree joins."""
     mixed = (known.groupBy("hash").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                        _blocks(F.sum("n"), F.count(F.lit(1))).alias("blocks"))
              .where("low < high").select("hash", "blocks"))
@@ -423,14 +433,14 @@ def cross_pairs(known: DataFrame, reps: DataFrame) -> DataFrame:
     # at most signature_size hashes each; a pair that shares only others below its
     # hash comes more than once
     shared = rows.groupBy("id").agg(F.collect_list("hash").alias("shared"))
-    rows = (rows.join(reps.select("id", "counts").join(shared, "id"), "id")
+    rows = (rows.join(reps.join(shared, "id"), "id")
             .withColumn("lower", F.slice(F.array_sort(F.filter("shared", lambda x: x < F.col("hash"))), 1, LOWER)))
     # block i meets blocks i.. as the left side and blocks ..i as the right one
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
         F.least(own, other).alias("left"), F.greatest(own, other).alias("right")))
     tasks = (rows.withColumn("own", own).withColumn("meet", F.explode(meets))
-             .select("hash", "meet.left", "meet.right", "own", "id", "component", "counts", "lower"))
+             .select("hash", "meet.left", "meet.right", "own", "id", "component", "counts", "fine", "lower"))
     id_type = reps.schema["id"].dataType.simpleString()
 
     def join_groups(table: pa.Table) -> pa.Table:
@@ -443,6 +453,7 @@ def cross_pairs(known: DataFrame, reps: DataFrame) -> DataFrame:
         sizes = np.diff(starts)
         small = np.flatnonzero(sizes[group] <= LEAF)
         lists, lower = table.column("lower").combine_chunks(), {}
+        fine = table.column("fine").to_pylist()
         found = []
 
         def lower_of(x: int) -> frozenset:
@@ -454,7 +465,8 @@ def cross_pairs(known: DataFrame, reps: DataFrame) -> DataFrame:
             """Most pairs of a hot group lie in one component; none of those is kept."""
             keep = comp[i] != comp[j]
             i, j = i[keep], j[keep]
-            first = np.fromiter((lower_of(x).isdisjoint(lower_of(y)) for x, y in zip(i.tolist(), j.tolist())), bool, len(i))
+            first = np.fromiter((lower_of(x).isdisjoint(lower_of(y)) and may_link(fine[x], fine[y])
+                                 for x, y in zip(i.tolist(), j.tolist())), bool, len(i))
             found.append((i[first], j[first]))
 
         # small groups of two blocks hold pairs of one block too; those come again from its own
@@ -549,7 +561,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links += new
         if 20 * new < links:
             break
-    cross = materialise(bounded(cross_pairs(with_components(signatures, component), reps), reps), "cross")
+    cross = materialise(cross_pairs(with_components(signatures, component), reps), "cross")
     first = materialise(apart_pairs(cross, component).groupBy("low", "high").agg(
         F.min(F.struct("a", "b", *CELL)).alias("m")).select("m.*"), "first")
     component = joined(component, materialise(verified(first, docs), "links"))

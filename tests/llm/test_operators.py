@@ -267,6 +267,50 @@ def test_fine_bound_loses_no_pair():
     assert ngram_join.fine_counts(hot) == b"" and ngram_join.may_link(b"", ngram_join.fine_counts(a))
 
 
+def test_fine_bound_tells_pairs_just_below_the_threshold():
+    rng = np.random.default_rng(6)
+    for n in (150, 300, 1500):
+        s = rng.integers(0, 2**63, 2 * n).astype(np.uint64)
+        other = round(0.14 * n)  # 0.75 of the union is shared
+        a, b = s[:n], np.r_[s[:n - other], s[n:n + other]]
+        assert not ngram_join.may_link(ngram_join.fine_counts(np.sort(a)), ngram_join.fine_counts(np.sort(b)))
+
+
+def unlinked_copies(n=60, words=400):
+    """Texts of one passage, each with so many words of its own that no two link but all nearly do."""
+    base = [f"w{i}" for i in range(words)]
+    return [(i, " ".join(f"own{i}x{j}" if j in range(5 + i % 30, 395, 40) else w for j, w in enumerate(base)), "en", "a")
+            for i in range(n)]
+
+
+def test_group_of_unlinked_copies_is_not_written_out_as_pairs(spark):
+    rows = unlinked_copies()
+    assert {c for _, c in brute_components(rows).values()} == set(range(len(rows)))
+    sets = ngram_join.sets(table(spark, rows)).cache()
+    reps = sets.selectExpr("doc_id id", "counts", "fine")
+    signatures = sets.selectExpr("doc_id id", "cast(n_shingles as int) n", "explode(signature) hash")
+    pairs = ngram_join.cross_pairs(ngram_join.with_components(signatures, None), reps)
+    assert pairs.count() <= len(rows)
+    sets.unpersist()
+
+
+def test_verified_pairs_are_dealt_out_once(spark, monkeypatch):
+    written = []
+
+    def kept(df, name):
+        written.append((name, df._jdf.queryExecution().optimizedPlan().toString().count("Join")))
+        return materialise(df, name)
+
+    materialise = ngram_join.materialise
+    monkeypatch.setattr(ngram_join, "materialise", kept)
+    docs = table(spark, [(1, "a b c d e f g", "en", "a"), (2, "a b c d e f g", "en", "a"), (3, "z", "en", "a")])
+    pairs = spark.createDataFrame([(1, 2, "x", 0, 0), (1, 3, "x", 0, 0)], "a long, b long, cell string, left int, right int")
+    links = ngram_join.verified(pairs, docs)
+    assert [tuple(r) for r in links.collect()] == [(1, 2)]
+    # the join of pairs with their parts is in none but the table of dealt pairs
+    assert [n for n, joins in written if joins] == ["near-parts"]
+
+
 def test_ngram_join_on_the_smallest_table(spark, sf):
     docs = registry.documents(spark, sf)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
