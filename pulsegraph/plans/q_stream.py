@@ -1,7 +1,7 @@
 """Registered streaming queries.
 
 Each deals the rows of the given table at random over at least ``BATCHES``
-files, drains them as a stream in ``BATCHES`` micro-batches, and returns the
+files, of about ``FILE_BYTES`` of it each, drains them as a stream in ``BATCHES`` micro-batches, and returns the
 state after the last – which must equal the batch answer.
 """
 
@@ -11,10 +11,13 @@ from pulsegraph.plans import q_mentions, q_posts
 from pulsegraph.plans.registry import REGISTRY, query
 from pulsegraph.plans.sqlviews import with_views
 from pulsegraph.session import scratch_path
+from pulsegraph.sinks.entities import input_bytes
 from pulsegraph.sources import tables as T
 from pulsegraph.streaming import streams as S
 
 BATCHES = 4
+#: bytes of the table's files that one task deals into one file of the stream, however large the table is
+FILE_BYTES = 32 << 20
 #: so that the registered streams also compact
 COMPACT_EVERY = 3
 
@@ -22,7 +25,7 @@ COMPACT_EVERY = 3
 def _stream(spark, d, view):
     """``view`` (of ``sources.tables``) as a stream of ``BATCHES`` micro-batches."""
     rows = view(spark, d)
-    files = max(BATCHES, len(rows.inputFiles()))
+    files = max(BATCHES, len(rows.inputFiles()), -(-input_bytes(rows) // FILE_BYTES))
     path = scratch_path(spark, "stream-in")
     S.stage_files(rows, path, files)
     return S.file_stream(spark, path, rows.schema, -(-files // BATCHES))

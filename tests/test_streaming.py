@@ -1,6 +1,7 @@
 """Streams: last snapshot == batch answer; a restart resumes from the checkpoint."""
 
 from pulsegraph.operators import heat as H
+from pulsegraph.plans import q_stream
 from pulsegraph.session import scratch_path
 from pulsegraph.sources import tables as T
 from pulsegraph.streaming import streams as S
@@ -142,3 +143,13 @@ def test_registered_streams_run_several_batches(spark, sf):
     finally:
         S.merged_writer = plain
     assert seen == list(range(q_stream.BATCHES)) and q_stream.BATCHES >= 4
+
+
+def test_stream_files_follow_the_bytes_of_the_table(spark, sf, monkeypatch):
+    size, staged = q_stream.input_bytes(T.posts(spark, sf)), []
+    stage = S.stage_files
+    monkeypatch.setattr(q_stream, "FILE_BYTES", size // 10)
+    monkeypatch.setattr(S, "stage_files", lambda df, path, n: (staged.append(n), stage(df, path, n)))
+    got = q_stream.stream_account_measures(spark, sf)
+    assert staged[0] >= 10
+    assert _sorted(got) == _sorted(H.account_measure_totals(T.posts(spark, sf)))
