@@ -104,24 +104,29 @@ def _rows(spans: list[Span]) -> list[dict]:
     return [{"start": s, "rank": kinds.index(k), "kind": k, "end": e} for k, s, e in spans]
 
 
+def scanned_batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id, key, text_hash, text`` with the spans in place of the text.
+
+    One text at a time is a Python string: a batch may hold many MB of them."""
+    for batch in stream:
+        base, weak = [], []
+        for text in batch.column(3):
+            text = text.as_py()
+            found = base_spans(text)
+            base.append(_rows(found))
+            weak.append(_rows(weak_spans(text, found)))
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(i) for i in range(3)), pa.array(base, pa.list_(_SPAN)), pa.array(weak, pa.list_(_SPAN))],
+            names=["doc_id", "key", "text_hash", "base", "weak"])
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, key, text_hash, base, weak``: the spans of every whole text."""
-    def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            base, weak = [], []
-            for text in batch.column(3).to_pylist():
-                found = base_spans(text)
-                base.append(_rows(found))
-                weak.append(_rows(weak_spans(text, found)))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(3)), pa.array(base, pa.list_(_SPAN)), pa.array(weak, pa.list_(_SPAN))],
-                names=["doc_id", "key", "text_hash", "base", "weak"])
-
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col).alias("key"),
                        F.xxhash64(text).alias("text_hash"), text.alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(batches, f"doc_id {id_type}, key string, text_hash bigint, base {_SPANS}, weak {_SPANS}")
+    return rows.mapInArrow(scanned_batches, f"doc_id {id_type}, key string, text_hash bigint, base {_SPANS}, weak {_SPANS}")
 
 
 def _cell(at: Column) -> Column:
