@@ -233,7 +233,8 @@ def score(docs: DataFrame, model: ToxicityModel | None, text_col: str = "text",
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = model.scorer() if model else lambda _: 0.0
         for batch in stream:
-            scores = [of(t or "") for t in batch.column(n).to_pylist()]
+            # one text at a time is a Python string: a batch may hold many MB of them
+            scores = [of(t.as_py() or "") for t in batch.column(n)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(n)), pa.array(scores, pa.float64())],
                                              names=[*keep, out])
 
