@@ -25,8 +25,8 @@ EAGER = {
     "pagerank_weighted": "iterative: 1 exchange / iteration, checkpoint every 5, exact 0.1 % stop",
     "scc": "trim, bypass, then colourings: a step joins and exchanges what its frontier sends; one checkpoint a step",
     "scc_members": "scc + partial count per component joined back",
-    "triangle_count": "input + oriented graph checkpointed; lists of higher neighbours joined on the neighbour (sort-merge); "
-                      "dense core: 3 exchanges by colour block, hash joins inside blocks",
+    "triangle_count": "pairs persisted on disk, degrees and lists checkpointed; "
+                      "lists of higher neighbours joined on the neighbour (sort-merge); dense core: 3 exchanges by colour block, hash joins inside blocks",
     "triangle_count_at": "as triangle_count",
 }
 
